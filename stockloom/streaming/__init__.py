@@ -1,0 +1,3 @@
+"""No streaming jobs: the pipelines re-run a period in batch (see
+``plans.forecast.run.run_incremental``), which is all the use case asks for.
+"""
