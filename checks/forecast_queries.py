@@ -109,6 +109,10 @@ def year_match_ctes(spec: SeriesSpec, start: dt.date, end: dt.date, capped: bool
         ("weights", """SELECT *, similarity / NULLIF(SUM(similarity) OVER
             (PARTITION BY snpsht, fcst, agg_level), 0) AS weight,
             COUNT(*) OVER (PARTITION BY snpsht, fcst, agg_level) AS years FROM growth"""),
+        ("unmatched", """SELECT snpsht, agg_level FROM (
+            SELECT DISTINCT snpsht, agg_level, 0 AS known FROM samples
+            UNION ALL SELECT DISTINCT snpsht, agg_level, 1 FROM weights)
+            GROUP BY 1, 2 HAVING MAX(known) = 0"""),
     )
 
 
@@ -124,16 +128,15 @@ def forecast1_sql(spec: SeriesSpec, fill: str = "0.0") -> str:
         FROM (
             SELECT w.snpsht, w.fcst, w.agg_level, SUM(h.value * w.weight * w.comp_fctr) AS f1
             FROM hist h JOIN weights w ON h.agg_level = w.agg_level
-            AND year(w.fcst) - year(h.dt) = w.yr AND {week(back)} = {week('h.dt')}
+            AND year(h.dt) = year(w.fcst) - w.yr AND {week(back)} = {week('h.dt')}
             AND dayofweek(w.fcst) = dayofweek(h.dt) WHERE w.years > 1 GROUP BY 1, 2, 3
             UNION ALL
             SELECT s.snpsht, s.fcst, s.agg_level, AVG(s.value) FROM samples s
-            WHERE s.yr = 0 AND (s.snpsht, s.agg_level, s.fcst) IN
-                (SELECT (snpsht, agg_level, fcst) FROM weights WHERE years <= 1) GROUP BY 1, 2, 3
+            JOIN (SELECT DISTINCT snpsht, agg_level, fcst FROM weights WHERE years <= 1) w
+            USING (snpsht, agg_level, fcst) WHERE s.yr = 0 GROUP BY 1, 2, 3
             UNION ALL
             SELECT s.snpsht, s.fcst, s.agg_level, AVG(s.value) FROM samples s
-            LEFT JOIN (SELECT DISTINCT snpsht, agg_level FROM weights) w USING (snpsht, agg_level)
-            WHERE w.agg_level IS NULL GROUP BY 1, 2, 3
+            JOIN unmatched USING (snpsht, agg_level) GROUP BY 1, 2, 3
         ) f LEFT JOIN hist h ON h.dt = f.fcst AND h.agg_level = f.agg_level"""
 
 
@@ -236,8 +239,8 @@ DESEASON_SQL = """SELECT s.agg_level, s.dt, s.fcst_crt_dt_flg, s.qty, s.adj_qty,
     s.adj_qty - COALESCE(m.seasonal_qty, 0) AS st_deseasonalized_adj_qty
     FROM series s JOIN smoothed m USING (agg_level, dt)"""
 DESEASON_COLUMNS = (
-    "agg_level:s, dt:d, fcst_crt_dt_flg:b, qty:f, adj_qty:f, smoothed_seasonal_qty:f, "
-    "deseasonalized_adj_qty:f, seasonal_qty:f, st_deseasonalized_adj_qty:f"
+    "agg_level:s, dt:d, fcst_crt_dt_flg:b, qty:f8, adj_qty:f8, smoothed_seasonal_qty:f8, "
+    "deseasonalized_adj_qty:f8, seasonal_qty:f8, st_deseasonalized_adj_qty:f8"
 )
 FACT_COLUMNS = (
     "snpsht:d, fcst:d, agg_level:s, forecast1:f, forecast2:f, forecast3:f, forecast4:f, "
@@ -351,11 +354,12 @@ RULES_SQL = f"""SELECT * FROM past UNION ALL
 
 
 def _hist(i: Inputs):
-    return fc.densify_history(i.history, SPEC)
+    return materialise(fc.densify_history(i.history, SPEC), "hist")
 
 
 def _snap(i: Inputs, hist):
-    return fc.snapshot_periods(i.cal, hist, SPEC, SNAP_START, SNAP_END, AS_OF)
+    periods = fc.snapshot_periods(i.cal, hist, SPEC, SNAP_START, SNAP_END, AS_OF)
+    return materialise(periods, "periods")
 
 
 SPAN = (SNAP_START, SNAP_END)
@@ -366,17 +370,13 @@ def _comparison(i: Inputs):
     return fc.year_comparison(_snap(i, hist), hist, i.cal, SPEC, SPAN)
 
 
-def _weights(i: Inputs):
-    return fc.similarity_weights(fc.cap_growth(_comparison(i), SPEC))
+def _samples(i: Inputs, hist):
+    periods = fc.forecast_periods(i.cal, hist, SPEC, SNAP_START, SNAP_END, AS_OF)
+    return fc.forecast_samples(hist, periods, SPEC)
 
 
 def _forecast1(raw, cal, spec, start, end):
-    hist = fc.densify_history(raw, spec)
-    periods = fc.snapshot_periods(cal, hist, spec, start, end, AS_OF)
-    weights = fc.similarity_weights(
-        fc.cap_growth(fc.year_comparison(periods, hist, cal, spec, (start, end)), spec)
-    )
-    return fc.forecast1(hist, weights, periods, spec, (start, end))
+    return fc.staged_forecast1(raw, cal, spec, start, end, AS_OF)
 
 
 def _series(i: Inputs):
@@ -421,7 +421,7 @@ SEASON_COLUMNS = (
     "dt:d, type:s, season:s, holiday_flg:b, dt_rnk:i, next_dt:d, fcst_dts:s"
 )
 SERIES_COLUMNS = (
-    "agg_level:s, dt:d, next_dt:d, fcst_crt_dt_flg:b, qty:f, adj_qty:f, period_avg_qty:f, "
+    "agg_level:s, dt:d, next_dt:d, fcst_crt_dt_flg:b, qty:f8, adj_qty:f8, period_avg_qty:f8, "
     "period_count_qty:i"
 )
 WEEKLY = year_match_ctes(SPEC, SNAP_START, SNAP_END)
@@ -469,7 +469,7 @@ def _adjusted_sql() -> str:
 
 
 QUERIES = [
-    Query("f0_densify_history", _hist, "agg_level:s, dt:d, value:f, dayofweek:i",
+    Query("f0_densify_history", lambda i: fc.densify_history(i.history, SPEC), "agg_level:s, dt:d, value:f, dayofweek:i",
           "SELECT * FROM hist", ("history",), history_ctes(SPEC)),
     Query("f0_densify_history_daily", lambda i: fc.densify_history(i.daily_history, DAILY),
           "agg_level:s, dt:d, value:f, dayofweek:i", "SELECT * FROM hist", ("daily_history",),
@@ -479,8 +479,7 @@ QUERIES = [
           "snpsht:d, fcst:d, eval_dt:d, yr:i, offset:i",
           'SELECT *, off AS "offset" FROM periods', ("history", "cal"), WEEKLY),
     Query("f1_2_forecast_samples",
-          lambda i: fc.forecast_samples(
-              _hist(i), fc.forecast_periods(i.cal, _hist(i), SPEC, SNAP_START, SNAP_END, AS_OF), SPEC),
+          lambda i: _samples(i, _hist(i)),
           "snpsht:d, fcst:d, dt:d, agg_level:s, value:f, share:f",
           "SELECT * FROM samples", ("history", "cal"), WEEKLY),
     Query("f1_3_year_comparison", lambda i: fc.with_targets(_comparison(i), SPEC),
@@ -519,10 +518,10 @@ QUERIES = [
     Query("f2_3_prepare_series", _series, SERIES_COLUMNS, "SELECT * FROM series",
           ("history", "cal"), series_ctes(SPEC)),
     Query("f2_4_seasonality", lambda i: fc.seasonality(_series(i), SPEC),
-          "agg_level:s, dt:d, type:s, season:s, seasonal_qty:f", "SELECT * FROM seasonality",
+          "agg_level:s, dt:d, type:s, season:s, seasonal_qty:f8", "SELECT * FROM seasonality",
           ("history", "cal"), series_ctes(SPEC)),
     Query("f2_5_smooth_seasonality", _smoothed,
-          "agg_level:s, dt:d, smoothed_seasonal_qty:f, seasonal_qty:f", "SELECT * FROM smoothed",
+          "agg_level:s, dt:d, smoothed_seasonal_qty:f8, seasonal_qty:f8", "SELECT * FROM smoothed",
           ("history", "cal"), series_ctes(SPEC)),
     Query("f2_6_deseasonalise", lambda i: fc.deseasonalise(_series(i), _smoothed(i)),
           DESEASON_COLUMNS, DESEASON_SQL, ("history", "cal"), series_ctes(SPEC)),

@@ -78,9 +78,9 @@ def fact(e) -> str:
     def row(step: int) -> str:
         return f"""SELECT a.dt AS snpsht, {e.add('a.dt', str(7 * step))} AS fcst,
             concat(a.p_brand, '|', a.p_type) AS agg_level,
-            a.qty * (60 + 10 * (EXTRACT(DAY FROM a.dt) % 9)) / 100 + 0.37 + {step} AS forecast1,
-            a.qty * (70 + 10 * (EXTRACT(DAY FROM a.dt) % 7)) / 100 + 1.21 AS forecast2,
-            a.qty * (40 + 10 * (EXTRACT(DAY FROM a.dt) % 11)) / 100 - 3.53 AS forecast3,
+            a.qty * (60 + 10 * (EXTRACT(DAY FROM a.dt) % 9)) / 100 + CAST(1 + 3 * {step} AS DOUBLE) / 3 AS forecast1,
+            a.qty * (70 + 10 * (EXTRACT(DAY FROM a.dt) % 7)) / 100 + CAST(11 AS DOUBLE) / 9 AS forecast2,
+            a.qty * (40 + 10 * (EXTRACT(DAY FROM a.dt) % 11)) / 100 - CAST(25 AS DOUBLE) / 7 AS forecast3,
             CAST(NULL AS DOUBLE) AS forecast4, CAST(NULL AS DOUBLE) AS one_forecast,
             b.qty AS actual, a.p_brand AS p_brand, a.p_type AS p_type
             FROM {{history}} a LEFT JOIN {{history}} b
@@ -339,7 +339,7 @@ CALENDAR_SQL = """
                     (SELECT s.st FROM year_starts s WHERE s.fy = year(d.cal_dt))
                     THEN year(d.cal_dt) ELSE year(d.cal_dt) - 1 END
                 JOIN year_starts y ON y.fy = n.fy - 1
-            ))))
+            )))
 """
 YEAR_STARTS_SQL = """
     SELECT range AS fy, make_date(range, 1, 29)

@@ -73,12 +73,13 @@ def cross_grid(
     ``dates`` comes from :func:`date_array`.  Each key row is expanded in
     place, so the grid needs no join and no shuffle.
     """
-    chosen = dates
+    chosen = F.col("_dates")
     if start is not None:
         chosen = F.filter(chosen, lambda d: d >= F.col(start))
     if end is not None:
         chosen = F.filter(chosen, lambda d: d <= F.col(end))
-    return keys.select("*", F.explode(chosen).alias(name))
+    expanded = keys.withColumn("_dates", dates).withColumn(name, F.explode(chosen))
+    return expanded.drop("_dates")
 
 
 def range_join(

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 DEFAULT_SPLITS = 32
 
 
-def _buckets(df: DataFrame, col: str, splits: int) -> Column:
-    """Bucket number of a value, non-decreasing in the value.
+def _with_bucket(df: DataFrame, col: str, splits: int, descending: bool) -> DataFrame:
+    """Add a bucket number that follows the order of a value.
 
     Cut points are approximate global quantiles, found in one pass.  Any cut
     points give exact results; good ones only balance the work.  A hot key
@@ -30,8 +30,9 @@ def _buckets(df: DataFrame, col: str, splits: int) -> Column:
     shares = [i / splits for i in range(1, splits)]
     number = F.col(col).cast("double")
     cuts = df.agg(F.percentile_approx(number, shares, F.lit(1000)).alias("cuts")).scalar()
-    below = F.size(F.filter(cuts, lambda cut: cut < number))
-    return F.coalesce(below, F.lit(0))
+    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < number)), F.lit(0))
+    marked = df.withColumn("_cuts", cuts)
+    return marked.withColumn("_bucket", -below if descending else below).drop("_cuts")
 
 
 def split_running_sum(
@@ -52,8 +53,7 @@ def split_running_sum(
     first; ``ties`` orders them.
     """
     side = [*keys, "_bucket"]
-    bucket = _buckets(df, order, splits)
-    marked = df.withColumn("_bucket", -bucket if descending else bucket).withColumn("_w", weight)
+    marked = _with_bucket(df, order, splits, descending).withColumn("_w", weight)
     sizes = marked.groupBy(*side).agg(F.sum("_w").alias("_size"))
     over_buckets = Window.partitionBy(*keys).orderBy("_bucket")
     offsets = sizes.select(

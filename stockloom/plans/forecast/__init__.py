@@ -38,6 +38,7 @@ from stockloom.plans.forecast.year_match import (
     similarity_weights,
     snapshot_periods,
     snapshot_samples,
+    staged_forecast1,
     with_targets,
     year_comparison,
 )
@@ -52,5 +53,6 @@ __all__ = [
     "run_incremental", "seasonal_calendar", "seasonality",
     "selection_base", "similarity_weights", "smooth_seasonality",
     "smoothing_calendar", "snapshot_periods", "snapshot_samples",
+    "staged_forecast1",
     "value_report", "with_targets", "year_comparison",
 ]

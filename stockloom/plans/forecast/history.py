@@ -36,10 +36,11 @@ def densify_history(raw: DataFrame, spec: SeriesSpec) -> DataFrame:
         {
             "start_dt": F.min(F.when(F.col("value") > 0, F.col("dt"))).over(by_key),
             "_next": F.lead("dt").over(in_order),
+            "_dates": dates,
         }
     ).filter(F.col("dt") >= F.col("start_dt"))
     gap = F.filter(
-        dates,
+        "_dates",
         lambda d: (d > F.col("dt")) & (F.col("_next").isNull() | (d < F.col("_next"))),
     )
     own = F.array(F.col("dt"))

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from stockloom.plans.forecast.bandit import apply_selection, bandit_selection
-from stockloom.plans.forecast.history import densify_history
 from stockloom.plans.forecast.seasonal import (
     deseasonalise,
     prepare_series,
@@ -23,14 +22,7 @@ from stockloom.plans.forecast.selection import (
     selection_base,
 )
 from stockloom.plans.forecast.smoothing import apply_forecast23, exp_smooth_fit, forecast23
-from stockloom.plans.forecast.year_match import (
-    cap_growth,
-    forecast1,
-    forecast1_incremental,
-    similarity_weights,
-    snapshot_periods,
-    year_comparison,
-)
+from stockloom.plans.forecast.year_match import forecast1_incremental, staged_forecast1
 from stockloom.session import materialise
 from stockloom.spec import SeriesSpec
 
@@ -56,13 +48,7 @@ def create_fact(
     as_of: dt.date,
 ) -> DataFrame:
     """Forecasts 1 to 3 for all snapshots between two dates."""
-    hist = densify_history(raw, spec)
-    span = (start, end)
-    periods = snapshot_periods(calendar, hist, spec, start, end, as_of)
-    weights = similarity_weights(
-        cap_growth(year_comparison(periods, hist, calendar, spec, span), spec)
-    )
-    fact = forecast1(hist, weights, periods, spec, span)
+    fact = staged_forecast1(raw, calendar, spec, start, end, as_of)
     return with_forecast23(fact, raw, calendar, spec)
 
 

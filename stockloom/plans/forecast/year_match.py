@@ -26,6 +26,7 @@ from stockloom.functions import (
 )
 from stockloom.operators.joins import date_array
 from stockloom.plans.forecast.history import densify_history
+from stockloom.session import materialise
 from stockloom.spec import SeriesSpec
 
 # Years of history compared, and the modulus applied to the
@@ -44,14 +45,15 @@ def snapshot_periods(
     calendar: DataFrame, hist: DataFrame, spec: SeriesSpec, start: dt.date, end: dt.date,
     as_of: dt.date | None = None,
 ) -> DataFrame:
-    """Evaluation periods per snapshot: snpsht, eval_dt, yr, offset.
+    """Evaluation periods per snapshot: snpsht, eval_dt, yr, offset, first_eval.
 
-    Only (snapshot, yr) groups that cover a whole quarter remain.  Snapshot
-    and evaluation dates meet on the calendar year, an equi-join of two
-    calendars whose size does not depend on the data.
+    Only (snapshot, yr) groups that cover a whole quarter remain;
+    ``first_eval`` is the first of a group's dates that has a counterpart in
+    the recent quarter.  Snapshot and evaluation dates meet on the calendar
+    year, an equi-join of two calendars whose size does not depend on the data.
     """
-    bounds = hist.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    bounds = hist.agg(F.struct(F.min("dt").alias("lo"), F.max("dt").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     periods = period_dates(calendar, spec)
     last = min(end, as_of) if as_of else end
     snapshots = (
@@ -76,10 +78,14 @@ def snapshot_periods(
         "yr", year_boundary_diff("snpsht", shifted)
     )
     whole = Window.partitionBy("snpsht", "yr")
+    recent = F.collect_set(F.when(F.col("yr") == 0, F.col("offset")))
+    met = F.when(F.array_contains("_recent", F.col("offset")), F.col("eval_dt"))
     return (
         dated.withColumn("_n", F.count(F.lit(1)).over(whole))
         .filter(F.col("_n") == spec.window)
-        .select("snpsht", "eval_dt", "yr", "offset")
+        .withColumn("_recent", recent.over(Window.partitionBy("snpsht")))
+        .withColumn("first_eval", F.min(met).over(whole))
+        .select("snpsht", "eval_dt", "yr", "offset", "first_eval")
     )
 
 
@@ -114,7 +120,8 @@ def snapshot_samples(
 ) -> DataFrame:
     """History at the evaluation periods with its share of the quarter.
 
-    Columns: agg_level, start_dt, snpsht, yr, offset, eval_dt, value, share.
+    Columns: agg_level, start_dt, snpsht, yr, offset, first_eval, value, share
+    and eval_dt.
     """
     taken = hist.select("agg_level", "start_dt", "dt", "value").join(
         _bounded_periods(periods, spec, span), F.col("dt") == F.col("eval_dt")
@@ -126,7 +133,7 @@ def snapshot_samples(
 
 def forecast_samples(hist: DataFrame, periods: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Samples per snapshot and target, for a target-level ``periods`` table."""
-    per_snapshot = periods.select("snpsht", "eval_dt", "yr", "offset").distinct()
+    per_snapshot = periods.drop("fcst").distinct()
     samples = snapshot_samples(hist, per_snapshot, spec)
     return with_targets(samples, spec).select(
         "snpsht", "fcst", F.col("eval_dt").alias("dt"), "agg_level", "value", "share"
@@ -141,13 +148,13 @@ def _with_calendar_gaps(hist: DataFrame, calendar: DataFrame, spec: SeriesSpec)
     known = date_array(hist, "dt")
     periods = date_array(period_dates(calendar, spec), "dt")
     missing = F.filter(
-        F.array_except(periods, known),
-        lambda d: (d > F.col("start_dt")) & (d <= F.array_max(known)),
+        "_absent", lambda d: (d > F.col("start_dt")) & (d <= F.col("_last"))
     )
     gaps = (
         hist.filter(F.col("dt") == F.col("start_dt"))
         .groupBy("agg_level")
         .agg(F.min("start_dt").alias("start_dt"))
+        .withColumns({"_absent": F.array_except(periods, known), "_last": F.array_max(known)})
         .select("agg_level", "start_dt", F.explode(missing).alias("dt"))
         .withColumn("value", F.lit(None).cast("double"))
         .withColumn("dayofweek", F.dayofweek("dt"))
@@ -168,42 +175,43 @@ def year_comparison(
     inside the row, so the recent and the earlier quarters need no self-join.
     """
     full = _with_calendar_gaps(hist, calendar, spec).repartition("agg_level")
-    samples = snapshot_samples(full, periods, spec, span)
-    entry = F.struct("offset", "eval_dt", "value", "share")
-    quarters = samples.groupBy("agg_level", "start_dt", "snpsht", "yr").agg(
+    samples = snapshot_samples(full, periods, spec, span).filter(
+        (F.col("yr") == 0) | (F.col("first_eval") >= F.col("start_dt"))
+    )
+    entry = F.struct("offset", "value", "share")
+    quarters = samples.groupBy("agg_level", "snpsht", "yr").agg(
         F.collect_list(entry).alias("items")
     )
     recent = F.when(F.col("yr") == 0, F.col("items"))
     earlier = F.when(F.col("yr") != 0, F.struct("yr", "items"))
-    nested = quarters.groupBy("agg_level", "start_dt", "snpsht").agg(
+    nested = quarters.groupBy("agg_level", "snpsht").agg(
         F.flatten(F.collect_list(recent)).alias("recent"),
         F.collect_list(earlier).alias("earlier"),
     )
     year = nested.select(
-        "agg_level", "start_dt", "snpsht", "recent", F.explode("earlier").alias("e")
-    ).select("agg_level", "start_dt", "snpsht", "recent", "e.yr", F.explode("e.items").alias("p"))
+        "agg_level", "snpsht", "recent", F.explode("earlier").alias("e")
+    ).select("agg_level", "snpsht", "recent", "e.yr", F.explode("e.items").alias("p"))
     paired = year.select(
-        "agg_level", "start_dt", "snpsht", "yr", "p",
+        "agg_level", "snpsht", "yr", "p",
         F.explode(F.filter("recent", lambda c: c["offset"] == F.col("p.offset"))).alias("c"),
     )
     cur, prev = F.col("c.value"), F.col("p.value")
     share_gap = F.coalesce(F.col("c.share"), F.lit(0.0)) - F.coalesce(F.col("p.share"), F.lit(0.0))
     floored = F.when(prev.isNotNull(), F.greatest(prev, F.lit(1.0)))
-    sums = paired.groupBy("agg_level", "snpsht", "yr", "start_dt").agg(
+    sums = paired.groupBy("agg_level", "snpsht", "yr").agg(
         F.sum(cur).alias("cur_value"),
         F.sum(prev).alias("prev_value"),
         F.avg(cur).alias("_cur_avg"),
         F.avg(prev).alias("_prev_avg"),
         F.avg(floored).alias("_floor_avg"),
         F.sum(share_gap * share_gap).alias("_gap"),
-        F.min("p.eval_dt").alias("_first"),
     )
     low_volume = (F.col("cur_value") <= spec.window) & (F.col("prev_value") <= spec.window)
     falling = F.col("cur_value") < F.col("prev_value")
     growth = F.when(
         low_volume | falling, safe_divide("_cur_avg", "_prev_avg")
     ).otherwise(safe_divide("_cur_avg", "_floor_avg"))
-    return sums.filter(F.col("_first") >= F.col("start_dt")).select(
+    return sums.select(
         "agg_level",
         "snpsht",
         "yr",
@@ -337,6 +345,25 @@ def forecast1(
     )
 
 
+def staged_forecast1(
+    raw: DataFrame, calendar: DataFrame, spec: SeriesSpec, start: dt.date, end: dt.date,
+    as_of: dt.date, cap: bool = True, fill: float | None = 0.0,
+) -> DataFrame:
+    """Forecast 1 from raw history.
+
+    The dense history and the evaluation periods are read by many later steps
+    and are therefore written once as stages.
+    """
+    span = (start, end)
+    hist = materialise(densify_history(raw, spec), "hist")
+    periods = materialise(snapshot_periods(calendar, hist, spec, start, end, as_of), "periods")
+    comparison = year_comparison(periods, hist, calendar, spec, span)
+    if cap:
+        comparison = cap_growth(comparison, spec)
+    weights = materialise(similarity_weights(comparison), "weights")
+    return forecast1(hist, weights, periods, spec, span, fill)
+
+
 def forecast1_incremental(
     fact: DataFrame, raw: DataFrame, calendar: DataFrame, spec: SeriesSpec, as_of: dt.date
 ) -> DataFrame:
@@ -346,9 +373,5 @@ def forecast1_incremental(
     """
     back = (as_of.weekday() + 1) % 7 if spec.freq == "week" else 0
     snapshot = as_of - dt.timedelta(days=back)
-    span = (snapshot, snapshot)
-    hist = densify_history(raw, spec)
-    periods = snapshot_periods(calendar, hist, spec, snapshot, snapshot, as_of)
-    weights = similarity_weights(year_comparison(periods, hist, calendar, spec, span))
-    fresh = forecast1(hist, weights, periods, spec, span, fill=None)
+    fresh = staged_forecast1(raw, calendar, spec, snapshot, snapshot, as_of, cap=False, fill=None)
     return fact.unionByName(fresh).distinct()

@@ -26,6 +26,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
         {
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
         }
     )
