@@ -2,6 +2,6 @@
 
 
 def all_queries() -> list:
-    from checks import basic_queries, forecast_queries
+    from checks import basic_queries, forecast_queries, inventory_queries
 
-    return [*basic_queries.QUERIES, *forecast_queries.QUERIES]
+    return [*basic_queries.QUERIES, *forecast_queries.QUERIES, *inventory_queries.QUERIES]
