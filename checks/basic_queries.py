@@ -16,11 +16,9 @@ from stockloom.plans.inventory import order_up_to_level
 from stockloom.session import stage_path
 
 DAY = f"DATE '{AS_OF.isoformat()}'"
-SHIP = F.to_date("l_shipdate").alias("ship")
-
 
 def _lines(i: Inputs):
-    return i.lineitem.select("*", SHIP)
+    return i.lineitem.select("*", F.to_date("l_shipdate").alias("ship"))
 
 
 def _round_trip_csv(i: Inputs, explicit: bool):

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockloom.calendar import default_calendar
+from stockloom.session import materialise
 from stockloom.spec import SeriesSpec
 
 AS_OF = dt.date(2001, 6, 3)
@@ -209,7 +210,7 @@ def lead_parms(e) -> str:
 
 def prices(e) -> str:
     return f"""SELECT {SKU} AS sku, s_nationkey AS mkt, CAST(1 + l_linenumber % 2 AS INT) AS tier,
-        {SHIP} AS eff_bgn, {e.add(SHIP, '180')} AS eff_end,
+        {SHIP} AS eff_bgn, {e.add(SHIP, f'CASE WHEN {SKU} % 13 = 0 THEN 8 ELSE 180 END')} AS eff_end,
         MAX(l_quantity) AS vol_disc_min_qty, MAX(l_discount) AS vol_disc_pct,
         CASE WHEN ({SKU} + s_nationkey) % 9 = 0 THEN DATE '2001-01-01' ELSE DATE '9999-12-31' END
         AS row_end_dt,
@@ -290,6 +291,11 @@ PARENTS = {
 }
 
 
+# Wide inputs kept as files, as they are in use.  Filters on 52 columns that
+# are themselves expressions make the optimizer's constraint sets explode.
+STORED = ("factors",)
+
+
 class Inputs:
     """Spark side: tables of one data folder and the inputs built from them."""
 
@@ -315,7 +321,8 @@ class Inputs:
             return self.trans_lines.groupBy(*basket).agg(F.collect_list(line).alias("dtl"))
         text = BUILDERS[name](SparkText())
         used = {t for t in (*TABLES, *PARENTS.get(name, ())) if "{" + t + "}" in text}
-        return self.spark.sql(text, **{t: getattr(self, t) for t in sorted(used)})
+        made = self.spark.sql(text, **{t: getattr(self, t) for t in sorted(used)})
+        return materialise(made, name) if name in STORED else made
 
 
 CALENDAR_SQL = """

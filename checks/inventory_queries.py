@@ -77,13 +77,15 @@ CHOSEN = ("chosen", f"""SELECT a.store, a.sku, a.sku_crt_dt, a.last_upd_dt,
     JOIN prefs c ON b.sub_dept = c.sub_dept AND b.class_nbr = c.class_nbr AND b.sub_class_nbr = c.sc_nbr
     WHERE b.cal_dt = {DAY} - 2 AND b.reple_ind = 1 AND {_frequent('top_jlq', 'mid_jlq', 'bot_jlq')}
     BETWEEN min_jlq_size AND COALESCE(NULLIF(max_jlq_size, 0), 9999)""")
+NEW_FACTORS = ("new_factors", """SELECT f.* FROM factors f JOIN (SELECT MAX(sf_calc_date) AS sf_calc_date FROM factors) m
+    USING (sf_calc_date)""")
+THIS_WEEK = ("this_week", f"SELECT fscl_wk_nbr FROM cal WHERE cal_dt = {DAY}")
 # Week 17 of the fiscal year contains the run date, so weeks 19 to 22 count.
 SEASONAL = ("seasonal", f"""SELECT *, CAST(LEAST(GREATEST(ROUND(freq * f4_sf), 3), 500) AS BIGINT) AS adj_freq FROM (
-    SELECT a.*, CASE (SELECT fscl_wk_nbr FROM cal WHERE cal_dt = {DAY}) WHEN 17 THEN (sf19 + sf20 + sf21 + sf22) / 4
+    SELECT a.*, CASE w.fscl_wk_nbr WHEN 17 THEN (sf19 + sf20 + sf21 + sf22) / 4
         WHEN 18 THEN (sf20 + sf21 + sf22 + sf23) / 4 END AS f4_sf,
     LEAST(e.rev_tm_days + e.lead_tm_days, 50) AS rtlt
-    FROM chosen a JOIN factors d ON a.sku = d.sku AND a.store = d.store
-    AND d.sf_calc_date = (SELECT MAX(sf_calc_date) FROM factors)
+    FROM chosen a JOIN new_factors d ON a.sku = d.sku AND a.store = d.store CROSS JOIN this_week w
     JOIN inventory e ON a.store = e.store AND a.sku = e.sku AND a.sku_crt_dt = e.sku_crt_dt
     WHERE e.cal_dt = {DAY} - 2 AND e.reple_ind = 1 AND e.rev_tm_days IS NOT NULL AND e.lead_tm_days IS NOT NULL) x
     WHERE f4_sf > 0.6""")
@@ -121,7 +123,8 @@ IMPACT = ("impact", f"""SELECT *, trgt_oh_qty * curr_retl_amt AS trgt_oh_amt, cu
 BASKET_INPUTS = ("items", "inventory", "prefs", "trans_lines", "cal", "demand", "factors", "stores", "lead_parms")
 TO_HIST = (LATEST, ACTIVE, BASKETS, CAPPED, HIST)
 TO_BEST = (*TO_HIST, SPLITS, MEANS, ERRORS, PER_K2, BEST)
-TO_RESULT = (*TO_BEST, CHOSEN, SEASONAL, MULTIPLES, RESULT)
+TO_SEASONAL = (*TO_BEST, CHOSEN, NEW_FACTORS, THIS_WEEK, SEASONAL)
+TO_RESULT = (*TO_SEASONAL, MULTIPLES, RESULT)
 TO_IMPACT = (*TO_RESULT, UPLOAD, LEAD, IMPACT)
 
 
@@ -322,7 +325,7 @@ QUERIES = [
     Query("b8_choose_cluster", _chosen, PAIR_COLUMNS + "last_upd_dt:d, jlq:f, stddev:f5, freq:i", "SELECT * FROM chosen",
           BASKET_INPUTS, (*TO_BEST, CHOSEN)),
     Query("b9_seasonal_frequency", _seasonal, RESULT_COLUMNS, "SELECT * FROM seasonal", BASKET_INPUTS,
-          (*TO_BEST, CHOSEN, SEASONAL)),
+          TO_SEASONAL),
     Query("b10_safety_multiple", _minimums, RESULT_COLUMNS + ", jlq_mult:f, full_jlq:i", "SELECT * FROM minimums",
           BASKET_INPUTS, TO_RESULT),
     Query("b11_stamp_weeks", _stamped, "fscl_wk_end_dt:d, " + RESULT_COLUMNS + ", jlq_mult:f, full_jlq:i",

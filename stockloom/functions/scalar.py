@@ -160,7 +160,7 @@ def forward_season(factors: Sequence[str], week) -> Column:
     """
     if len(factors) != 52:
         raise ValueError("52 weekly factor columns are needed")
-    table = F.array(*[F.col(c) for c in factors])
-    week = F.least(_c(week), F.lit(52))
-    picked = [F.get(table, ((week + 1 + i) % 52).cast("int")) for i in range(4)]
-    return reduce(lambda a, b: a + b, picked) / 4
+    wrapped = F.array(*[F.col(c) for c in (*factors, *factors[:5])])
+    first = F.least(_c(week), F.lit(52)).cast("int") + 2
+    coming = F.slice(wrapped, first, F.lit(4))
+    return F.aggregate(coming, F.lit(0.0), lambda total, factor: total + factor) / 4

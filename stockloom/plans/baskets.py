@@ -265,9 +265,8 @@ def seasonal_frequency(
     newest = factors.agg(F.max("sf_calc_date")).scalar()
     names = [f"sf{i:02d}" for i in range(1, 53)]
     week = calendar.filter(F.col("cal_dt") == F.lit(as_of)).select("fscl_wk_nbr").scalar()
-    seasons = factors.filter(F.col("sf_calc_date") == newest).select(
-        "sku", "store", forward_season(names, week).alias("f4_sf")
-    )
+    latest = factors.filter(F.col("sf_calc_date") == newest).withColumn("_week", week)
+    seasons = latest.select("sku", "store", forward_season(names, "_week").alias("f4_sf"))
     days = snapshot(inv, as_of).filter(
         (F.col("reple_ind") == 1)
         & F.col("rev_tm_days").isNotNull()
