@@ -291,9 +291,10 @@ PARENTS = {
 }
 
 
-# Wide inputs kept as files, as they are in use.  Filters on 52 columns that
+# Inputs that several steps of a pipeline read, written once as they would be
+# in use.  For the factors there is a second reason: filters on 52 columns that
 # are themselves expressions make the optimizer's constraint sets explode.
-STORED = ("factors",)
+STORED = ("history", "daily_history", "fact", "factors", "inventory", "bulk_inventory")
 
 
 class Inputs:

@@ -77,8 +77,8 @@ def choose_batch(
     periods = int(n.max())
     mape, gap = np.ones((count, periods, 3)), np.zeros((count, periods, 3))
     w1, w2 = np.empty((count, HIDDEN, 4)), np.empty((count, 3, HIDDEN))
-    coin, dice = np.empty((count, periods)), np.empty((count, periods), dtype=int)
-    replay = np.empty((count, periods, REPLAY_STEPS))
+    coin, dice = np.zeros((count, periods)), np.zeros((count, periods), dtype=int)
+    replay = np.zeros((count, periods, REPLAY_STEPS))
     for k, key in enumerate(keys):
         length = n[k]
         mape[k, :length], gap[k, :length] = errors[k], gaps[k]

@@ -28,9 +28,12 @@ from stockloom.spec import SeriesSpec
 
 
 def deseasonalised(raw: DataFrame, calendar: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Raw history to the deseasonalised series."""
+    """Raw history to the deseasonalised series.
+
+    The prepared series is read twice and therefore written as a stage.
+    """
     season_cal = seasonal_calendar(calendar, spec)
-    series = prepare_series(raw, season_cal, spec)
+    series = materialise(prepare_series(raw, season_cal, spec), "series")
     seasons = seasonality(series, spec)
     return deseasonalise(series, smooth_seasonality(seasons, smoothing_weights(season_cal, spec)))
 
@@ -39,7 +42,7 @@ def with_forecast23(
     fact: DataFrame, raw: DataFrame, calendar: DataFrame, spec: SeriesSpec
 ) -> DataFrame:
     """Forecasts 2 and 3 computed and written into the fact."""
-    series = deseasonalised(raw, calendar, spec)
+    series = materialise(deseasonalised(raw, calendar, spec), "deseasonalised")
     return apply_forecast23(fact, forecast23(series, exp_smooth_fit(series), spec), spec)
 
 

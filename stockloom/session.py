@@ -28,6 +28,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
+            # Test data is far below the default minimum partition, which
+            # would run numeric steps on a single core.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         }
     )
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
