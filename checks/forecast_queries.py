@@ -476,7 +476,7 @@ QUERIES = [
           'SELECT *, off AS "offset" FROM periods', ("history", "cal"), WEEKLY),
     Query("f1_2_forecast_samples",
           lambda i: _samples(i, _hist(i)),
-          "snpsht:d, fcst:d, dt:d, agg_level:s, value:f, share:f",
+          "snpsht:d, fcst:d, dt:d, agg_level:s, value:f, share:f8",
           "SELECT * FROM samples", ("history", "cal"), WEEKLY),
     Query("f1_3_year_comparison", lambda i: fc.with_targets(_comparison(i), SPEC),
           COMPARED + "cur_value:f, prev_value:f, comp_fctr:f, similarity:f4",
