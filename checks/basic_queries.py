@@ -13,7 +13,7 @@ from stockloom import operators as op
 from stockloom import sources as src
 from stockloom.plans import orders as po
 from stockloom.plans.inventory import order_up_to_level
-from stockloom.session import stage_path
+from stockloom.session import materialise, stage_path
 
 DAY = f"DATE '{AS_OF.isoformat()}'"
 
@@ -150,7 +150,7 @@ WEEKLY_SQL = "(SELECT p_brand, dt, SUM(qty) AS qty FROM history GROUP BY 1, 2)"
 
 def _trucks(i: Inputs):
     boosted = po.boost_priority(i.po, i.priority_skus)
-    return po.build_truck(boosted)
+    return po.build_truck(materialise(boosted, "orders"))
 
 
 BOOST_SQL = """SELECT po.*, priority + CASE WHEN EXISTS (SELECT 1 FROM hits WHERE hits.po = po.po)

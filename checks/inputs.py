@@ -294,7 +294,7 @@ PARENTS = {
 # Inputs that several steps of a pipeline read, written once as they would be
 # in use.  For the factors there is a second reason: filters on 52 columns that
 # are themselves expressions make the optimizer's constraint sets explode.
-STORED = ("history", "daily_history", "fact", "factors", "inventory", "bulk_inventory")
+STORED = ("history", "daily_history", "fact", "factors", "inventory", "bulk_inventory", "po")
 
 
 class Inputs:

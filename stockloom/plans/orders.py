@@ -50,8 +50,11 @@ def build_truck(orders: DataFrame, cap: float = CAPACITY) -> DataFrame:
     is included if it still fits, else skipped.  Adds ``included``.
 
     The greedy pass itself is sequential per store.  It runs on the possible
-    orders only, whose number depends on the capacity and not on how many
-    orders a store has.  Orders without volume always fit.
+    orders only.  Their number does not depend on how many orders a store has:
+    with cubes recorded in steps of p it is at most about n ln(n) for
+    n = cap / p, some 20,000 for whole cubes and 2,400 capacity.  Orders
+    without volume always fit.  ``orders`` is read three times, so pass a
+    written table.
     """
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["new_priority", "po"], ascending=[False, True], kind="stable")

@@ -41,6 +41,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
     return spark
 
 
+# Fallback folder of a local session without the setting, made once.
+_local_folder: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -52,8 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="stockloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not _local_folder:
+            _local_folder.append(tempfile.mkdtemp(prefix="stockloom-"))
+        folder = _local_folder[0]
     return folder.rstrip("/")
 
 

@@ -72,6 +72,13 @@ def test_calendar_size_is_checked(spark):
         fiscal_calendar(spark, dt.date(1, 1, 1), dt.date(9999, 1, 1))
 
 
+def test_local_fallback_folder_is_stable(spark, monkeypatch):
+    from stockloom import session
+
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: None)
+    assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
 def hot_rows(seed=1, n=3000):
     """A third of all rows on one key, many equal values."""
     rng = random.Random(seed)

@@ -222,6 +222,17 @@ def test_tier_diff_statuses(spark):
     assert got == {1: "ADDED", 2: "REMOVED", 3: "REDUCED", 4: "INCREASED", 5: "NO CHANGE"}
 
 
+def test_removed_items(spark):
+    keys = "sku int, sku_crt_dt date"
+    last = spark.createDataFrame([(1, SUNDAY), (1, SUNDAY), (2, SUNDAY), (3, SUNDAY)], keys)
+    new = spark.createDataFrame([(2, SUNDAY)], keys)
+    items = spark.createDataFrame(
+        [(s, SUNDAY, d, 1, "c", 2, "s") for s, d in ((1, "0025"), (2, "0026"), (3, None))],
+        keys + ", sub_dept string, class_nbr int, class_desc string, sub_class_nbr int, sub_class_desc string")
+    got = bulk.removed_items(last, new, items).collect()
+    assert [(r.sku, r.dept) for r in got] == [(1, "025")]
+
+
 def test_missing_settings_stop_the_run(spark):
     bulk.require_settings(spark.createDataFrame([], "sku int"))
     with pytest.raises(bulk.MissingSettings):
