@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks.inputs import Inputs, duck_ctes
+from stockloom.session import ship_package
 
 
 def _spark_column(name: str, kind: str) -> Column:
@@ -46,6 +47,7 @@ class Query:
         return [(name.strip(), kind.strip()) for name, kind in pairs]
 
     def spark(self, spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
         df = self.run(Inputs(spark, folder))
         return df.select(*[_spark_column(n, k) for n, k in self._columns()])
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed where it is not installed on the executors; the driver hands the
+    archive to Spark, which distributes it.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="stockloom-")) / package.name
+        archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+
+
 # Fallback folder of a local session without the setting, made once.
 _local_folder: list[str] = []
 
