@@ -477,11 +477,14 @@ QUERIES = [
         i.customer.select(F.col("c_nationkey").alias("n")), i.supplier.select(F.col("s_nationkey").alias("n"))), "n:i",
         "SELECT c_nationkey AS n FROM customer UNION SELECT s_nationkey FROM supplier"),
     Query("v1_pivot_sum", lambda i: op.pivot_sum(
-        i.measures, "row_nbr", "measure_name", "measure_value", ["click", "error", "view"]),
-        "row_nbr:s, click:f4, error:f4, view:f4",
+        i.measures, "row_nbr", "measure_name", "measure_value"),
+        "row_nbr:s, click:f4, error:f4, purchase:f4, signup:f4, view:f4",
         """SELECT row_nbr, SUM(measure_value) FILTER (measure_name = 'click') AS click,
         SUM(measure_value) FILTER (measure_name = 'error') AS error,
-        SUM(measure_value) FILTER (measure_name = 'view') AS view FROM measures WHERE row_nbr <> 'All' GROUP BY 1""",
+        SUM(measure_value) FILTER (measure_name = 'purchase') AS purchase,
+        SUM(measure_value) FILTER (measure_name = 'signup') AS signup,
+        SUM(measure_value) FILTER (measure_name = 'view') AS view
+        FROM measures WHERE row_nbr IS DISTINCT FROM 'All' GROUP BY 1""",
         ("measures",)),
     Query("e1_unnest", lambda i: op.unnest(i.po.select("po", F.split("skus", ",").alias("l")), "l", "sku", "pos"),
           "po:i, sku:s, pos:i",

@@ -6,8 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stockloom.operators.joins import MAX_DATES
-
 
 def _year_start(year: Column) -> Column:
     """First Monday on or after 29 January."""
@@ -20,12 +18,11 @@ def fiscal_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFr
 
     Weeks run Monday (1) to Sunday (7).  Years start on the first Monday on or
     after 29 January and have 52 or 53 weeks in 4-5-4 periods; a 53rd week
-    extends the last period.  The number of rows follows from the arguments
-    and is checked, so the calendar may safely be broadcast.
+    extends the last period.  The number of rows follows from the arguments.
     """
     days = (end - start).days + 1
-    if not 0 < days <= MAX_DATES:
-        raise ValueError(f"a calendar holds 1 to {MAX_DATES} days, not {days}")
+    if days <= 0:
+        raise ValueError(f"the calendar would end {end} before it starts {start}")
     first = F.lit(start.isoformat()).cast("date")
     day = spark.range(0, days, 1, 1).select(F.date_add(first, F.col("id").cast("int")).alias("cal_dt"))
     this_start = _year_start(F.year("cal_dt"))
@@ -57,9 +54,26 @@ def fiscal_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFr
     )
 
 
-def default_calendar(spark: SparkSession) -> DataFrame:
-    """Years 1990 to 2030, wide enough for the data and its horizons."""
-    return fiscal_calendar(spark, dt.date(1990, 1, 1), dt.date(2030, 12, 31))
+def covering_calendar(df: DataFrame, date: str, before: int = 2, after: int = 2) -> DataFrame:
+    """Whole years around the dates of a column: ``before`` years of padding for
+    smoothing and comparison, ``after`` for the horizon."""
+    low, high = df.agg(F.year(F.min(F.col(date).cast("date"))), F.year(F.max(F.col(date).cast("date")))).first()
+    if low is None:
+        raise ValueError(f"no dates in {date} to build a calendar for")
+    return fiscal_calendar(df.sparkSession, dt.date(low - before, 1, 1), dt.date(high + after, 12, 31))
+
+
+def in_calendar(df: DataFrame, date: str, calendar: DataFrame) -> DataFrame:
+    """``df`` with the calendar's columns at a date; a date without a calendar
+    row is an error, not a lost row."""
+    marked = calendar.withColumn("_known", F.lit(True))
+    joined = df.join(marked, F.col(date) == F.col("cal_dt"), "left")
+    missing = F.concat(F.lit("outside the calendar: "), F.coalesce(F.col(date).cast("string"), F.lit("no date")))
+    sure = {
+        f.name: F.when(F.col("_known"), F.col(f.name)).otherwise(F.raise_error(missing).cast(f.dataType))
+        for f in calendar.schema if f.name != "cal_dt"
+    }
+    return joined.withColumns(sure).drop("_known", "cal_dt")
 
 
 def period_dates(calendar: DataFrame, spec) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stockloom.operators.windows import join_back
 from stockloom.functions.scalar import safe_divide
 
 
@@ -83,13 +84,19 @@ def wape(
 def weighted_pop_sd(df: DataFrame, keys: Sequence[str], x: str, n: str) -> DataFrame:
     """Count, mean and population deviation of values that carry counts."""
     x, n = F.col(x).cast("double"), F.col(n).cast("double")
-    sums = df.groupBy(*keys).agg(
-        F.sum(n).alias("cnt"), F.sum(n * x).alias("_sx"), F.sum(n * x * x).alias("_sxx")
+    rows = df.select(*keys, x.alias("_x"), n.alias("_n"))
+    means = rows.groupBy(*keys).agg(
+        F.sum("_n").alias("_cnt"), F.try_divide(F.sum(F.col("_n") * F.col("_x")), F.sum("_n")).alias("_mean")
     )
-    spread = F.greatest(F.col("cnt") * F.col("_sxx") - F.col("_sx") * F.col("_sx"), F.lit(0.0))
-    return sums.select(
-        *keys,
-        "cnt",
-        (F.col("_sx") / F.col("cnt")).alias("mean"),
-        (F.sqrt(spread) / F.col("cnt")).alias("sd"),
+    # Deviations are summed in a second pass: differences of large sums of
+    # squares would lose their digits.
+    gap = F.col("_x") - F.col("_mean")
+    return (
+        join_back(rows, means, keys)
+        .groupBy(*keys)
+        .agg(
+            F.max("_cnt").alias("cnt"),
+            F.max("_mean").alias("mean"),
+            F.sqrt(F.try_divide(F.sum(F.col("_n") * gap * gap), F.max("_cnt"))).alias("sd"),
+        )
     )

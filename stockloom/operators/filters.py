@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stockloom.functions.scalar import clip
-from stockloom.operators.windows import partition_percentile
+from stockloom.operators.windows import join_back, partition_percentile
 
 # Codes and limits the filters test for.
 SALE_TYPE, NORMAL_STATUS = "S", "NO"
@@ -22,7 +22,7 @@ def clip_percentile(
 ) -> DataFrame:
     """Winsorise a value to two percentiles of its key; NULL stays NULL."""
     bounds = partition_percentile(df, keys, x, [lo, hi], ["_lo", "_hi"])
-    joined = df.join(bounds, list(keys), "left")
+    joined = join_back(df, bounds, keys)
     return joined.withColumn(name, clip(x, F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 

@@ -13,9 +13,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Upper bound on distinct dates kept in one array: 137 years of days.
-MAX_DATES = 50_000
-
 
 def inner_equi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on equally named columns."""
@@ -50,15 +47,10 @@ def previous_period_join(
 def date_array(df: DataFrame, col: str) -> Column:
     """Sorted distinct dates of a column as one array value.
 
-    The array is a scalar subquery, computed once with partial aggregation.  A
-    date column has at most one entry per calendar day, and the size is checked
-    while the query runs: beyond ``MAX_DATES`` it fails instead of growing.
+    The array is a scalar subquery, computed once with partial aggregation.  It
+    has one entry per calendar day that occurs, however many rows there are.
     """
-    dates = F.sort_array(F.collect_set(F.col(col).cast("date")))
-    checked = F.when(F.size(dates) <= MAX_DATES, dates).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_DATES} distinct dates in {col}"))
-    )
-    return df.agg(checked.alias("dates")).scalar()
+    return df.agg(F.sort_array(F.collect_set(F.col(col).cast("date"))).alias("dates")).scalar()
 
 
 def cross_grid(

@@ -23,15 +23,23 @@ def pivot_sum(
     row: str,
     name: str,
     value: str,
-    names: Sequence[str],
+    names: Sequence[str] | None = None,
     drop: str | None = "All",
+    most_names: int = 10_000,
 ) -> DataFrame:
     """Long measures to one column each, summed; the overall row is dropped.
 
-    ``names`` lists the measure names, so no extra job has to find them.
+    ``names`` lists the measures wanted as columns.  Without it they are the
+    distinct non-NULL names found, in order; more than ``most_names`` of them
+    are an error, never a cut.
     """
     if drop is not None:
-        df = df.filter(F.col(row).cast("string") != drop)
+        df = df.filter(~F.col(row).cast("string").eqNullSafe(F.lit(drop)))
+    if names is None:
+        rows = df.select(name).filter(F.col(name).isNotNull()).distinct().limit(most_names + 1).collect()
+        if len(rows) > most_names:
+            raise ValueError(f"more than {most_names} measure names in {name}")
+        names = sorted(r[0] for r in rows)
     return df.groupBy(row).pivot(name, list(names)).agg(F.sum(value))
 
 

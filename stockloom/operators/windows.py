@@ -7,32 +7,28 @@ Two families:
   a window partition is bounded by the calendar however large the data.
 * Steps over arbitrary rows (shares, ranks, percentiles, group maxima) must
   stand a key that holds a third of all rows.  They aggregate partially and
-  join back, or cut each key into value buckets that are numbered separately
-  and offset by the bucket totals, which gives exact global results.
+  join back, or cut all rows into ranges that are summed separately and offset
+  by the totals of earlier ranges, which gives exact results.  A NULL key is a
+  group of its own throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_SPLITS = 32
+from stockloom.session import materialise
 
 
-def _with_bucket(df: DataFrame, col: str, splits: int, descending: bool) -> DataFrame:
-    """Add a bucket number that follows the order of a value.
 
-    Cut points are approximate global quantiles, found in one pass.  Any cut
-    points give exact results; good ones only balance the work.  A hot key
-    dominates the quantiles and is therefore the one cut finest.
-    """
-    shares = [i / splits for i in range(1, splits)]
-    number = F.col(col).cast("double")
-    cuts = df.agg(F.percentile_approx(number, shares, F.lit(1000)).alias("cuts")).scalar()
-    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < number)), F.lit(0))
-    marked = df.withColumn("_cuts", cuts)
-    return marked.withColumn("_bucket", -below if descending else below).drop("_cuts")
+def join_back(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Columns of ``side`` attached to the rows of the same key; NULL is a key
+    like any other, as it is in a window."""
+    named = side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(named, reduce(lambda a, b: a & b, same, F.lit(True)), how).drop(*[f"_key_{k}" for k in keys])
 
 
 def split_running_sum(
@@ -44,45 +40,50 @@ def split_running_sum(
     total: str | None = None,
     ties: Sequence[str] = (),
     descending: bool = False,
-    splits: int = DEFAULT_SPLITS,
 ) -> DataFrame:
     """Running sum of ``weight`` by ``order`` within key, the row included.
 
-    Optionally adds the key's ``total``.  ``order`` is a number without NULLs.
-    Rows that tie on it stay in one bucket, so aggregate heavy duplicates
-    first; ``ties`` orders them.
+    Optionally adds the key's ``total``.  ``order`` may have any type that
+    sorts; NULLs come first, or last if ``descending``; ``ties`` orders equal
+    values, and rows equal in those too come in any order.
+
+    Rows are cut into ranges of (key, order, ties), as many as the session has
+    shuffle partitions, so their number follows the volume.  A key or a value
+    that holds most of the rows spans many ranges.  Sums run inside the ranges
+    and are offset by the totals of the key's earlier ranges.  The cut is
+    written, since both steps must see the same one.
     """
-    side = [*keys, "_bucket"]
-    marked = _with_bucket(df, order, splits, descending).withColumn("_w", weight)
+    place = F.col(order).desc() if descending else F.col(order).asc()
+    sort = [place, *[F.asc(t) for t in ties], F.asc("_row")]
+    count = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.withColumn("_w", weight).withColumn("_row", F.monotonically_increasing_id())
+    cut = rows.repartitionByRange(count, *[F.asc(k) for k in keys], *sort)
+    marked = materialise(cut.withColumn("_range", F.spark_partition_id()), "ranges")
+    side = [*keys, "_range"]
     sizes = marked.groupBy(*side).agg(F.sum("_w").alias("_size"))
-    over_buckets = Window.partitionBy(*keys).orderBy("_bucket")
+    over_ranges = Window.partitionBy(*keys).orderBy("_range")
     offsets = sizes.select(
         *side,
         (
-            F.sum("_size").over(over_buckets.rowsBetween(Window.unboundedPreceding, 0))
+            F.sum("_size").over(over_ranges.rowsBetween(Window.unboundedPreceding, 0))
             - F.col("_size")
         ).alias("_offset"),
         F.sum("_size").over(Window.partitionBy(*keys)).alias("_total"),
     )
-    direction = F.desc if descending else F.asc
-    inside = (
-        Window.partitionBy(*side)
-        .orderBy(direction(order), *[F.asc(t) for t in ties])
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    inside = Window.partitionBy(*side).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
     local = marked.withColumn("_local", F.sum("_w").over(inside))
-    joined = local.join(offsets, side, "inner").withColumn(
+    joined = join_back(local, offsets, side, "inner").withColumn(
         name, F.col("_offset") + F.col("_local")
     )
     if total is not None:
         joined = joined.withColumn(total, F.col("_total"))
-    return joined.drop("_bucket", "_w", "_offset", "_local", "_total")
+    return joined.drop("_range", "_row", "_w", "_offset", "_local", "_total")
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], x: str, name: str) -> DataFrame:
     """Value over its key's total; NULL for a zero total."""
     totals = df.groupBy(*keys).agg(F.sum(x).alias("_total"))
-    joined = df.join(totals, list(keys), "left")
+    joined = join_back(df, totals, keys)
     return joined.withColumn(name, F.try_divide(F.col(x), F.col("_total"))).drop("_total")
 
 
@@ -105,19 +106,17 @@ def row_number_by(
     ties: Sequence[str] = (),
     descending: bool = False,
     name: str = "rn",
-    splits: int = DEFAULT_SPLITS,
 ) -> DataFrame:
     """Row number within key, safe for keys too large for one task."""
     return split_running_sum(
-        df, keys, order, F.lit(1).cast("long"), name,
-        ties=ties, descending=descending, splits=splits,
+        df, keys, order, F.lit(1).cast("long"), name, ties=ties, descending=descending
     )
 
 
 def count_over(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows per key attached to every row."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, list(keys), "left")
+    return join_back(df, counts, keys)
 
 
 def neighbours(
@@ -148,7 +147,6 @@ def partition_percentile(
     x: str,
     ps: Sequence[float],
     names: Sequence[str],
-    splits: int = DEFAULT_SPLITS,
 ) -> DataFrame:
     """Exact interpolated percentiles per key.
 
@@ -160,9 +158,7 @@ def partition_percentile(
         .groupBy(*keys, F.col(x).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    placed = split_running_sum(
-        counted, keys, "_x", F.col("_n"), "_upto", total="_all", splits=splits
-    )
+    placed = split_running_sum(counted, keys, "_x", F.col("_n"), "_upto", total="_all")
     found = []
     for i, p in enumerate(ps):
         position = (F.col("_all") - 1) * F.lit(float(p))
@@ -184,7 +180,7 @@ def leave_one_out_mean(df: DataFrame, keys: Sequence[str], x: str, name: str) ->
     own = F.coalesce(F.col(x), F.lit(0.0))
     others = F.col("_cnt") - F.when(F.col(x).isNotNull(), 1).otherwise(0)
     return (
-        df.join(sums, list(keys), "left")
+        join_back(df, sums, keys)
         .withColumn(name, F.try_divide(F.col("_sum") - own, others))
         .drop("_sum", "_cnt")
     )
@@ -193,7 +189,7 @@ def leave_one_out_mean(df: DataFrame, keys: Sequence[str], x: str, name: str) ->
 def max_over(df: DataFrame, keys: Sequence[str], c: str, name: str) -> DataFrame:
     """Largest value of the key attached to every row."""
     tops = df.groupBy(*keys).agg(F.max(c).alias(name))
-    return df.join(tops, list(keys), "left")
+    return join_back(df, tops, keys)
 
 
 def top1_min(

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from stockloom.functions import ceil_to_pack, format_date, forward_season, strip_quotes, week_label
 from stockloom.operators.aggregates import with_total
 from stockloom.operators.filters import normal_sales
+from stockloom.calendar import in_calendar
 from stockloom.operators.joins import cross_grid, date_array
 from stockloom.plans.inventory import latest_items, order_up_to_level, snapshot
 from stockloom.sources.readers import explode_lines
@@ -50,12 +51,10 @@ def basket_lines(
     trans: DataFrame, calendar: DataFrame, items: DataFrame, as_of: dt.date
 ) -> DataFrame:
     """Units of a SKU per basket and fiscal week, rounded up."""
-    weeks = F.broadcast(
-        calendar.select(F.col("cal_dt").alias("sls_dt"), F.col("fscl_yr_wk_key_val").alias("fscl_yr_wk"))
-    )
+    weeks = calendar.select("cal_dt", F.col("fscl_yr_wk_key_val").alias("fscl_yr_wk"))
     lines = normal_sales(explode_lines(trans), as_of)
     return (
-        lines.join(weeks, "sls_dt")
+        in_calendar(lines, "sls_dt", weeks)
         .join(items.select(*PAIR), PAIR)
         .groupBy(*PAIR, "register", "trans_id", "fscl_yr_wk")
         .agg(F.ceil(F.sum("unt_sls")).alias("item_qty"))
@@ -104,26 +103,33 @@ def split_space(hist: DataFrame) -> DataFrame:
     )
 
 
+# Running sums of counts and squares, exact up to 38 digits.
+WHOLE = "decimal(38,0)"
+
+
 def _group(upto: Column, first: Column, last: Column) -> dict[str, Column]:
     """Count, mean, error sum and deviation of ranks first..last.
 
     ``upto`` holds running sums by rank, so each group costs constant time.
+    Counts and quantities are whole numbers, and so are their sums; the
+    difference that gives the error is taken before anything is rounded.
     """
     def total(name: str) -> Column:
         def at(rank: Column) -> Column:
-            return F.coalesce(F.get(upto, (rank - 1).cast("int"))[name], F.lit(0.0))
+            return F.coalesce(F.get(upto, (rank - 1).cast("int"))[name], F.lit(0).cast(WHOLE))
 
-        below = F.when(first > 1, at(first - 1)).otherwise(F.lit(0.0))
+        below = F.when(first > 1, at(first - 1)).otherwise(F.lit(0).cast(WHOLE))
         return at(last) - below
 
     filled = last >= first
     n, s, q = total("n"), total("s"), total("q")
-    sse = F.greatest((n * q - s * s) / n, F.lit(0.0))
+    count = n.cast("double")
+    sse = F.try_divide((n * q - s * s).cast("double"), count)
     return {
         "cnt": F.when(filled, n.cast("long")),
-        "mean": F.when(filled, s / n),
+        "mean": F.when(filled, F.try_divide(s.cast("double"), count)),
         "sse": F.when(filled, sse).otherwise(F.lit(0.0)),
-        "stddev": F.when(filled, F.sqrt(sse / n)),
+        "stddev": F.when(filled, F.sqrt(F.try_divide(sse, count))),
     }
 
 
@@ -145,7 +151,7 @@ def cluster_sse(hist: DataFrame) -> DataFrame:
     decided by the smaller k3_start.
     """
     in_order = Window.partitionBy(*PAIR).orderBy("pkey").rowsBetween(Window.unboundedPreceding, 0)
-    n, x = F.col("trans_cnt").cast("double"), F.col("item_qty").cast("double")
+    n, x = F.col("trans_cnt").cast(WHOLE), F.col("item_qty").cast(WHOLE)
     running = hist.select(
         *PAIR,
         "max_pkey",

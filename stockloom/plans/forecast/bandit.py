@@ -21,7 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+
 from stockloom.operators.joins import update_from
+from stockloom.plans.forecast.chunks import length_chunks
 
 # Network size, learning rate, exploration and replay settings.
 HIDDEN, LEARNING_RATE, INIT_SCALE = 100, 0.1, 0.01
@@ -128,6 +130,8 @@ def choose_batch(
     ]
 
 
+# Replay draws, memory and errors per key and period.
+STEP_BYTES = 8 * (REPLAY_STEPS + 20)
 _OUT = "agg_level string, fcsts array<date>, chosen array<string>, reward array<double>"
 
 
@@ -149,11 +153,10 @@ def bandit_selection(stats: DataFrame, as_of: dt.date, seed: int = 0) -> DataFra
     nested = nested.select("agg_level", *[F.col(f"s.{f}").alias(f) for f in fields])
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
+        chunks = (c for pdf in batches for c in length_chunks(pdf, "fcst", STEP_BYTES))
+        for pdf in chunks:
 
-            def stacked(kind: str) -> list[np.ndarray]:
+            def stacked(kind: str, pdf: pd.DataFrame = pdf) -> list[np.ndarray]:
                 cols = zip(pdf[f"{kind}1"], pdf[f"{kind}2"], pdf[f"{kind}3"], strict=True)
                 return [np.column_stack(c).astype(float) for c in cols]
 

@@ -24,32 +24,40 @@ def densify_history(raw: DataFrame, spec: SeriesSpec) -> DataFrame:
     Missing values become zero.  Columns: agg_level, dt, value, dayofweek,
     start_dt.  Several rows of one key and date stay several rows.
 
-    Each row fills the gap up to the key's next row, so only the sparse input
-    is shuffled, once, and the result stays partitioned by key.  A key holds
-    one row per period, hence a window partition is bounded by the calendar.
+    The dates are numbered once.  Gaps are found from the distinct (key, date)
+    pairs, at most one per period of a key, by the number of the key's next
+    date, and are cut out of the date array after the window; what is shuffled
+    is key, date and value.
     """
     rows = keyed(raw, spec)
-    dates = date_array(rows, "dt")
+    numbered = rows.select("dt").distinct().withColumn(
+        "_pos", F.row_number().over(Window.orderBy("dt"))  # distinct dates only
+    )
+    present = rows.groupBy("agg_level", "dt").agg(F.max("value").alias("_top"))
     by_key = Window.partitionBy("agg_level")
-    in_order = by_key.orderBy("dt")
-    started = rows.withColumns(
-        {
-            "start_dt": F.min(F.when(F.col("value") > 0, F.col("dt"))).over(by_key),
-            "_next": F.lead("dt").over(in_order),
-            "_dates": dates,
-        }
-    ).filter(F.col("dt") >= F.col("start_dt"))
-    gap = F.filter(
-        "_dates",
-        lambda d: (d > F.col("dt")) & (F.col("_next").isNull() | (d < F.col("_next"))),
+    spans = (
+        present.join(numbered, "dt")
+        .withColumns(
+            {
+                "start_dt": F.min(F.when(F.col("_top") > 0, F.col("dt"))).over(by_key),
+                "_next": F.lead("_pos").over(by_key.orderBy("dt")),
+            }
+        )
+        .filter(F.col("dt") >= F.col("start_dt"))
+    )
+    dates = F.col("_dates")
+    length = F.coalesce(F.col("_next"), F.size(dates) + 1) - F.col("_pos") - 1
+    gaps = (
+        spans.withColumn("_dates", date_array(rows, "dt"))
+        .withColumn("_at", F.explode(F.slice(dates, F.col("_pos") + 1, length)))
+        .select("agg_level", F.col("_at").alias("dt"), F.lit(0.0).alias("value"), "start_dt")
+    )
+    starts = rows.filter(F.col("value") > 0).groupBy("agg_level").agg(F.min("dt").alias("start_dt"))
+    own = (
+        rows.join(starts, "agg_level")
+        .filter(F.col("dt") >= F.col("start_dt"))
+        .select("agg_level", "dt", F.coalesce("value", F.lit(0.0)).alias("value"), "start_dt")
     )
-    own = F.array(F.col("dt"))
-    filled = started.withColumn("_at", F.explode(F.concat(own, gap)))
-    value = F.when(F.col("_at") == F.col("dt"), F.coalesce("value", F.lit(0.0))).otherwise(0.0)
-    return filled.select(
-        "agg_level",
-        F.col("_at").alias("dt"),
-        value.alias("value"),
-        F.dayofweek("_at").alias("dayofweek"),
-        "start_dt",
+    return own.unionByName(gaps).select(
+        "agg_level", "dt", "value", F.dayofweek("dt").alias("dayofweek"), "start_dt"
     )

@@ -22,7 +22,7 @@ from stockloom.plans.forecast.selection import (
     selection_base,
 )
 from stockloom.plans.forecast.smoothing import apply_forecast23, exp_smooth_fit, forecast23
-from stockloom.plans.forecast.year_match import forecast1_incremental, staged_forecast1
+from stockloom.plans.forecast.year_match import fresh_snapshot, staged_forecast1
 from stockloom.session import materialise
 from stockloom.spec import SeriesSpec
 
@@ -64,6 +64,13 @@ def select_forecast(
     ``fact`` is read several times here, so pass a written table.
     """
     stats = rolling_error_stats(selection_base(fact, as_of, spec, use_forecast4), spec, end)
+    return _selected(fact, stats, as_of, method, use_forecast4, seed)
+
+
+def _selected(
+    fact: DataFrame, stats: DataFrame, as_of: dt.date, method: str,
+    use_forecast4: bool = False, seed: int = 0,
+) -> DataFrame:
     if method == "rules":
         return apply_rules(fact, past_decisions(stats, as_of), use_forecast4)
     if method == "bandit":
@@ -86,8 +93,14 @@ def run_incremental(
     fact: DataFrame, raw: DataFrame, calendar: DataFrame, spec: SeriesSpec, as_of: dt.date,
     method: str = "rules", seed: int = 0,
 ) -> DataFrame:
-    """Add the current period to an existing fact and select again."""
+    """Append the current period, with its forecasts and selection, to a fact.
+
+    Rows of earlier snapshots are returned as they came: what was forecast and
+    chosen then must not learn from later data.  A second run of a period
+    changes nothing.
+    """
     raw = materialise(raw.select(*spec.keys, spec.time_col, spec.value_col), "history")
-    grown = forecast1_incremental(fact, raw, calendar, spec, as_of)
-    grown = materialise(with_forecast23(grown, raw, calendar, spec), "fact")
-    return select_forecast(grown, spec, as_of, as_of, method, seed=seed)
+    fresh = fresh_snapshot(fact, raw, calendar, spec, as_of)
+    fresh = materialise(with_forecast23(fresh, raw, calendar, spec), "fresh")
+    stats = rolling_error_stats(selection_base(fact.unionByName(fresh), as_of, spec), spec, as_of)
+    return fact.unionByName(_selected(fresh, stats, as_of, method, seed=seed))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stockloom.calendar import in_calendar
 from stockloom.functions import clip, safe_divide
 from stockloom.plans.forecast.history import keyed
 from stockloom.spec import SeriesSpec
@@ -172,8 +173,9 @@ def prepare_series(raw: DataFrame, season_cal: DataFrame, spec: SeriesSpec) -> D
     summed = (
         keyed(raw, spec).groupBy("agg_level", "dt").agg(F.sum("value").alias("sum_qty"))
     )
-    ranks = F.broadcast(season_cal.select("dt", "dt_rnk"))
-    ranked = summed.join(ranks, "dt").drop("dt")
+    ranks = season_cal.select(F.col("dt").alias("cal_dt"), "dt_rnk")
+    dated_sums = summed.filter(F.col("dt").isNotNull())
+    ranked = in_calendar(dated_sums, "dt", ranks).drop("dt")
     last = ranked.agg(F.max("dt_rnk")).scalar()
     by_key = Window.partitionBy("agg_level")
     in_order = by_key.orderBy("dt_rnk")
@@ -196,19 +198,22 @@ def prepare_series(raw: DataFrame, season_cal: DataFrame, spec: SeriesSpec) -> D
     series = spread.select(
         "agg_level", F.col("_at").alias("dt_rnk"), inside.alias("fcst_crt_dt_flg"), qty.alias("qty")
     )
-    attributes = F.broadcast(
-        season_cal.select("dt_rnk", "dt", "seasonality", "fcst_dts", "next_dt")
-    )
-    dated = series.join(attributes, "dt_rnk")
-    limits = dated.withColumns(
+    limits = series.withColumns(
         {
             "_p_lo": F.percentile("qty", F.lit(LOW_CLIP)).over(by_key),
             "_p_hi": F.percentile("qty", F.lit(HIGH_CLIP)).over(by_key),
         }
     )
     clean = limits.withColumn("adj_qty", clip("qty", F.col("_p_lo"), F.col("_p_hi")))
-    year_before = by_key.orderBy("dt").rowsBetween(-spec.num_periods, -1)
-    return clean.select(
+    year_before = by_key.orderBy("dt_rnk").rowsBetween(-spec.num_periods, -1)
+    trailed = clean.select(
+        "*",
+        F.avg("adj_qty").over(year_before).alias("period_avg_qty"),
+        F.count("adj_qty").over(year_before).alias("period_count_qty"),
+    )
+    # Calendar columns are attached last, so no window carries them.
+    attributes = season_cal.select("dt_rnk", "dt", "seasonality", "fcst_dts", "next_dt")
+    return trailed.join(attributes, "dt_rnk").select(
         "agg_level",
         "dt",
         "seasonality",
@@ -217,8 +222,8 @@ def prepare_series(raw: DataFrame, season_cal: DataFrame, spec: SeriesSpec) -> D
         "fcst_crt_dt_flg",
         "qty",
         "adj_qty",
-        F.avg("adj_qty").over(year_before).alias("period_avg_qty"),
-        F.count("adj_qty").over(year_before).alias("period_count_qty"),
+        "period_avg_qty",
+        "period_count_qty",
     )
 
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stockloom.plans.forecast.chunks import length_chunks
 from stockloom.functions import output_transform
 from stockloom.operators.joins import update_from
 from stockloom.spec import SeriesSpec
@@ -132,13 +133,16 @@ _NESTED = (
 )
 
 
+# Five arrays of seven fits each per key and step.
+STEP_BYTES = 8 * 7 * 5
+
+
 def _fit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def listed(levels: np.ndarray, n: np.ndarray) -> list[list[float | None]]:
         return [[None, *levels[1:length, k].tolist()] for k, length in enumerate(n)]
 
-    for pdf in batches:
-        if pdf.empty:
-            continue
+    chunks = (c for pdf in batches for c in length_chunks(pdf, "x", STEP_BYTES))
+    for pdf in chunks:
         fit = smooth_batch(
             [np.asarray(v, dtype=float) for v in pdf["x"]],
             [np.asarray(v, dtype=float) for v in pdf["y"]],

@@ -33,8 +33,6 @@ from stockloom.spec import SeriesSpec
 # period offset for every frequency.
 MAX_YEARS = 6
 OFFSET_MODULUS = 52
-# Period rows up to which they are broadcast: about 40 bytes each.
-MAX_BROADCAST_PERIODS = 2_000_000
 
 
 def _diff(a: Column, b: Column, freq: str) -> Column:
@@ -105,15 +103,6 @@ def forecast_periods(
     return with_targets(snapshot_periods(calendar, hist, spec, start, end, as_of), spec)
 
 
-def _bounded_periods(periods: DataFrame, spec: SeriesSpec, span: tuple[dt.date, dt.date] | None):
-    """Broadcast hint for the periods when the snapshot span proves them small."""
-    if span is None:
-        return periods
-    snapshots = ((span[1] - span[0]).days // spec.days_per_period) + 1
-    rows = snapshots * spec.window * (MAX_YEARS + 2)
-    return F.broadcast(periods) if rows <= MAX_BROADCAST_PERIODS else periods
-
-
 def snapshot_samples(
     hist: DataFrame, periods: DataFrame, spec: SeriesSpec,
     span: tuple[dt.date, dt.date] | None = None,
@@ -124,7 +113,7 @@ def snapshot_samples(
     and eval_dt.
     """
     taken = hist.select("agg_level", "start_dt", "dt", "value").join(
-        _bounded_periods(periods, spec, span), F.col("dt") == F.col("eval_dt")
+        periods, F.col("dt") == F.col("eval_dt")
     )
     quarter = Window.partitionBy("agg_level", "snpsht", "yr")
     share = safe_divide(F.col("value"), F.sum("value").over(quarter))
@@ -234,33 +223,33 @@ def cap_growth(comparison: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Growth factors above the 90th percentile replaced by the median.
 
     The reference values are the key's factors at snapshots of the year before.
-    They come from a range window (at most a year of snapshots), in the order
-    the key partitioning already has.  Percentiles are taken over (row,
-    reference) pairs: each value occurs once per yr row and target, which
-    matters for interpolation and enters as a repetition count.
+    They are the same for all years of a snapshot, so the range window (at most
+    a year of snapshots) runs over one row per key and snapshot.  Percentiles
+    are taken over (row, reference) pairs: each value occurs once per yr row
+    and target, which matters for interpolation and enters as a repetition
+    count.
     """
     day = F.datediff("snpsht", F.lit("1970-01-01").cast("date"))
     year_before = Window.partitionBy("agg_level").orderBy(day).rangeBetween(-366, -1)
-    entry = F.struct(F.col("snpsht").alias("s"), F.col("comp_fctr").alias("f"))
+    entry = F.struct(F.col("snpsht").alias("s"), F.col("_own").alias("f"))
     begin = F.add_months("snpsht", -12)
-    same_snapshot = Window.partitionBy("agg_level", "snpsht")
+    inside = F.filter("_near", lambda e: e["s"] > begin)
     found = (
-        comparison.withColumn("_near", F.collect_list(entry).over(year_before))
-        .withColumn(
-            "_ref",
-            F.array_sort(
-                F.transform(F.filter("_near", lambda e: e["s"] > begin), lambda e: e["f"])
-            ),
-        )
-        .withColumn("_copies", F.count(F.lit(1)).over(same_snapshot) * spec.horizon)
+        comparison.groupBy("agg_level", "snpsht")
+        .agg(F.collect_list("comp_fctr").alias("_own"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_near", F.collect_list(entry).over(year_before))
+        .withColumn("_ref", F.array_sort(F.flatten(F.transform(inside, lambda e: e["f"]))))
+        .withColumn("_copies", F.col("_rows") * spec.horizon)
     )
     has_ref = F.size("_ref") > 0
-    for name, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)):
-        found = found.withColumn(
-            name, F.when(has_ref, _percentile(F.col("_ref"), F.col("_copies"), p))
-        )
+    limits = [
+        F.when(has_ref, _percentile(F.col("_ref"), F.col("_copies"), p)).alias(name)
+        for name, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))
+    ]
     capped = F.when(F.col("comp_fctr") > F.col("p90"), F.col("p50")).otherwise(F.col("comp_fctr"))
-    return found.withColumn("comp_fctr", capped).drop("_near", "_ref", "_copies")
+    return comparison.join(
+        found.select("agg_level", "snpsht", *limits), ["agg_level", "snpsht"]
+    ).withColumn("comp_fctr", capped)
 
 
 def similarity_weights(comparison: DataFrame) -> DataFrame:
@@ -364,14 +353,25 @@ def staged_forecast1(
     return forecast1(hist, weights, periods, spec, span, fill)
 
 
-def forecast1_incremental(
+def fresh_snapshot(
     fact: DataFrame, raw: DataFrame, calendar: DataFrame, spec: SeriesSpec, as_of: dt.date
 ) -> DataFrame:
-    """The fact with the current period's snapshot added, duplicates removed.
+    """The current period's rows that the fact does not have yet.
 
     Growth factors are used as computed and forecasts 2 and 3 start as NULL.
+    Of the fact only the current snapshot is read, so the cost does not depend
+    on its history, and a second run of a period adds nothing.
     """
     back = (as_of.weekday() + 1) % 7 if spec.freq == "week" else 0
     snapshot = as_of - dt.timedelta(days=back)
     fresh = staged_forecast1(raw, calendar, spec, snapshot, snapshot, as_of, cap=False, fill=None)
-    return fact.unionByName(fresh).distinct()
+    key = ["snpsht", "fcst", "agg_level"]
+    present = fact.filter(F.col("snpsht") == F.lit(snapshot)).select(*key)
+    return fresh.join(present, key, "left_anti")
+
+
+def forecast1_incremental(
+    fact: DataFrame, raw: DataFrame, calendar: DataFrame, spec: SeriesSpec, as_of: dt.date
+) -> DataFrame:
+    """The fact with the current period's snapshot appended; past rows as they are."""
+    return fact.unionByName(fresh_snapshot(fact, raw, calendar, spec, as_of))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stockloom.operators.joins import contains_any
+from stockloom.operators.windows import join_back, split_running_sum
+from stockloom.session import materialise
 
 # Priority added for wanted SKUs, and truck capacity in cube.
 BOOST, CAPACITY = 50_000, 2_400.0
-SALTS = 256
+# Candidates of a store that one task may fill from, about 100 bytes each.
+GROUP_ROWS = 200_000
 
 
 def boost_priority(
@@ -23,38 +26,49 @@ def boost_priority(
     return flagged.withColumn("new_priority", F.col("priority") + gain).drop("_wanted")
 
 
-def _possible(orders: DataFrame, cap: float) -> DataFrame:
-    """Orders that can still matter when a truck is filled greedily.
+def _candidates(orders: DataFrame, cap: float, group_rows: int) -> DataFrame:
+    """Orders that a greedy fill may still take, few enough per store.
 
-    Room on a truck only shrinks.  So among orders of one store and equal
-    cube, once one is skipped all later ones are, and those taken are the
-    first ``floor(cap / cube)`` at most.  Everything beyond is certain to be
-    skipped.  The cut is made per salt before it is made per store and cube,
-    so a hot store is reduced in parallel and no task sees all its orders.
+    Room on a truck only shrinks.  The first orders of a store whose cubes
+    together fit are certain to be taken; after them every order larger than
+    the room they leave is certain to be skipped.  Rounds of this go on until
+    no store has more than ``group_rows`` candidates or nothing is left to
+    drop.  The running sums are split, so a hot store is reduced in parallel;
+    the tolerance covers the different order in which they add up.
     """
-    fits = orders.filter((F.col("cube") > 0) & (F.col("cube") <= cap))
-    room = F.floor(F.lit(cap) / F.col("cube"))
-    salted = fits.withColumn("_salt", F.pmod(F.xxhash64("po"), F.lit(SALTS)))
-    rank = [F.desc("new_priority"), F.asc("po")]
-    for keys in (["store", "cube", "_salt"], ["store", "cube"]):
-        window = Window.partitionBy(*keys).orderBy(*rank)
-        salted = salted.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= room)
-    return salted.drop("_salt", "_rn")
-
-
-def build_truck(orders: DataFrame, cap: float = CAPACITY) -> DataFrame:
+    slack = cap * 1e-9
+    left = orders.filter((F.col("cube") > 0) & (F.col("cube") <= cap))
+    while True:
+        sizes = left.groupBy("store").agg(F.count(F.lit(1)).alias("n"))
+        most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+        if (most or 0) <= group_rows:
+            return left
+        run = split_running_sum(
+            left, ["store"], "new_priority", F.col("cube"), "_run", ties=["po"], descending=True
+        )
+        sure = F.col("_run") <= cap - slack
+        rooms = run.groupBy("store").agg(
+            (cap - F.coalesce(F.max(F.when(sure, F.col("_run"))), F.lit(0.0))).alias("_room")
+        )
+        kept = join_back(run, rooms, ["store"]).filter(sure | (F.col("cube") <= F.col("_room") + slack))
+        left = materialise(kept.drop("_run", "_room"), "truck")
+        if left.count() == rows:
+            return left
+
+
+def build_truck(
+    orders: DataFrame, cap: float = CAPACITY, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Which orders go on each store's next truck.
 
     Columns needed: store, po, new_priority, cube (not negative); ``po`` is
     unique within a store.  By falling priority, then order number, an order
     is included if it still fits, else skipped.  Adds ``included``.
 
-    The greedy pass itself is sequential per store.  It runs on the possible
-    orders only.  Their number does not depend on how many orders a store has:
-    with cubes recorded in steps of p it is at most about n ln(n) for
-    n = cap / p, some 20,000 for whole cubes and 2,400 capacity.  Orders
-    without volume always fit.  ``orders`` is read three times, so pass a
-    written table.
+    The greedy pass itself is sequential per store.  It runs on a store's
+    candidates, which are first reduced in parallel to ``group_rows`` or to the
+    orders that one truck takes, whichever is more.  Orders without volume
+    always fit.  ``orders`` is read several times, so pass a written table.
     """
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["new_priority", "po"], ascending=[False, True], kind="stable")
@@ -65,7 +79,7 @@ def build_truck(orders: DataFrame, cap: float = CAPACITY) -> DataFrame:
                 used += cube
         return pdf.loc[taken, ["store", "po"]]
 
-    possible = _possible(orders.select("store", "po", "new_priority", "cube"), cap)
+    possible = _candidates(orders.select("store", "po", "new_priority", "cube"), cap, group_rows)
     types = {f.name: f.dataType.simpleString() for f in orders.schema}
     loaded = possible.groupBy("store").applyInPandas(
         fill, f"store {types['store']}, po {types['po']}"

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +58,7 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parent
-        target = Path(tempfile.mkdtemp(prefix="stockloom-")) / package.name
+        target = Path(os.path.realpath(tempfile.mkdtemp(prefix="stockloom-"))) / package.name
         archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
         spark.sparkContext.addPyFile(archive)
         _shipped.add(app)
@@ -82,9 +85,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Folders of the runs now open, the innermost last.
+_runs: list[str] = []
+
+
+@contextlib.contextmanager
+def stage_folder(spark: SparkSession) -> Iterator[str]:
+    """Stages written inside the block go to one folder, dropped at its end.
+
+    Results that read stages must be written out, or collected, inside.
+    """
+    path = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    _runs.append(path)
+    try:
+        yield path
+    finally:
+        _runs.remove(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a stage table; never one that is being read."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_runs[-1] if _runs else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

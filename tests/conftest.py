@@ -5,11 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from stockloom.session import local_session  # noqa: E402
+from stockloom.session import local_session, stage_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", 8)
-    yield session
+    with stage_folder(session):
+        yield session
     session.stop()

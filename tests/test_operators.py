@@ -20,6 +20,18 @@ def one(df):
     return df.collect()[0]
 
 
+def test_a_run_drops_its_stages(spark):
+    import os
+
+    from stockloom.session import materialise, stage_folder
+
+    with stage_folder(spark) as folder:
+        assert materialise(spark.range(3), "numbers").count() == 3
+        local = folder.removeprefix("file:")
+        assert os.listdir(local)
+    assert not os.path.exists(local)
+
+
 def test_key_with_null_part_is_null(spark):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b").select(fx.build_key(["a", "b"]).alias("k"))
     assert one(df).k is None
@@ -67,9 +79,63 @@ def test_fiscal_year_dates(spark):
     assert ends.filter("m <> e").count() == 0
 
 
-def test_calendar_size_is_checked(spark):
+def test_calendar_must_not_end_before_it_starts(spark):
+    with pytest.raises(ValueError):
+        fiscal_calendar(spark, dt.date(2000, 1, 2), dt.date(2000, 1, 1))
+
+
+NULL_KEYS = [(None, None, 3.0), (None, None, 1.0), ("a", None, 2.0), ("a", None, 5.0), ("a", "b", 4.0), (None, "b", None)]
+
+
+def test_null_keys_are_groups(spark):
+    """As in a window, for frames in memory and from files."""
+    local = spark.createDataFrame(NULL_KEYS, "k string, l string, x double")
+    path = stage_path(spark, "null-keys")
+    local.write.parquet(path)
+    groups = {}
+    for k, l, x in NULL_KEYS:  # noqa: E741
+        groups.setdefault((k, l), []).append(x)
+    for df in (local, spark.read.parquet(path)):
+        rows = lambda d: sorted(((r.k, r.l, r.x, r.v) for r in d.collect()), key=repr)
+        want = lambda f: sorted(((k, l, x, f(groups[k, l], x)) for k, l, x in NULL_KEYS), key=repr)
+        keys = ["k", "l"]
+        assert rows(op.count_over(df, keys, "v")) == want(lambda g, x: len(g))
+        assert rows(op.max_over(df, keys, "x", "v")) == want(lambda g, x: max((y for y in g if y is not None), default=None))
+        share = lambda g, x: None if x is None else x / sum(g)
+        assert rows(op.share_of_total(df, keys, "x", "v")) == want(share)
+        rest = lambda g, x: None if x is None or len(g) < 2 else sum(g) - x
+        assert rows(op.leave_one_out_mean(df, keys, "x", "v")) == want(rest)
+        numbers = lambda g, x: 1 + sum(y < x for y in g) if x is not None else 1
+        assert rows(op.row_number_by(df, keys, "x", name="v")) == want(numbers)
+        halves = {(r.k, r.l): r.v for r in op.partition_percentile(df, keys, "x", [0.5], ["v"]).collect()}
+        assert halves == {g: statistics.median(v) for g, v in groups.items() if v != [None]}
+        clipped = {(r.k, r.l, r.x): r.v for r in op.clip_percentile(df, keys, "x", 0.0, 1.0, "v").collect()}
+        assert clipped == {(k, l, x): x for k, l, x in NULL_KEYS}
+
+
+def test_row_numbers_of_dates_texts_and_ties(spark):
+    rng = random.Random(6)
+    rows = [(None if i % 11 == 0 else "k", rng.choice([None, dt.date(2020, 1, 1), dt.date(2021, 5, 5)]), rng.choice("abé"), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, d date, t string, i long")
+    for order, down in (("d", False), ("d", True), ("t", False), ("t", True)):
+        place = F.col(order).desc() if down else F.col(order).asc()
+        from pyspark.sql import Window
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(place, "i")))
+        got = op.row_number_by(df, ["k"], order, ties=["i"], descending=down)
+        assert sorted(map(repr, got.select("i", "rn").collect())) == sorted(map(repr, want.select("i", "rn").collect()))
+
+
+def test_rows_alike_in_every_column_are_all_numbered(spark):
+    df = spark.range(1000).select(F.lit("k").alias("k"), F.lit(1.0).alias("x"))
+    assert sorted(r.rn for r in op.row_number_by(df, ["k"], "x").collect()) == list(range(1, 1001))
+
+
+def test_pivot_finds_its_names(spark):
+    df = spark.createDataFrame([("1", "b", 2.0), ("1", "a", 1.0), (None, "a", 5.0), ("All", "z", 9.0), ("1", None, 3.0)], "r string, n string, v double")
+    assert op.pivot_sum(df, "r", "n", "v").columns == ["r", "a", "b"]
+    assert op.pivot_sum(df, "r", "n", "v", drop=None).columns == ["r", "a", "b", "z"]
     with pytest.raises(ValueError):
-        fiscal_calendar(spark, dt.date(1, 1, 1), dt.date(9999, 1, 1))
+        op.pivot_sum(df, "r", "n", "v", most_names=1)
 
 
 def test_local_fallback_folder_is_stable(spark, monkeypatch):

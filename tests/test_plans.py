@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stockloom.calendar import default_calendar
+from stockloom.calendar import covering_calendar
 from stockloom.plans import baskets as bk
 from stockloom.plans import bulk, orders
 from stockloom.plans import forecast as fc
@@ -27,57 +27,65 @@ def weekly(spark, series):
 # --- exponential smoothing -------------------------------------------------
 
 
-def slow_level(x, alpha):
-    out = [x[0]]
-    for value in x[1:]:
-        out.append(alpha * value + (1 - alpha) * out[-1])
-    return out
+def closed_level(x, alpha, t):
+    """Level after t steps, written out: every value with its remaining weight."""
+    rest = (1 - alpha) ** np.arange(t, -1, -1.0)
+    return rest[0] * x[0] + alpha * float(np.dot(rest[1:], x[1:t + 1]))
 
 
-def slow_alpha(x, lo, hi):
-    def cost(a):
-        level = slow_level(x, a)
-        return sum((x[i] - level[i - 1]) ** 2 for i in range(1, len(x)) if lo <= i <= hi)
+def span_cost(x, alpha, lo, hi):
+    return sum((x[i] - closed_level(x, alpha, i - 1)) ** 2 for i in range(max(lo, 1), hi + 1))
 
-    g = 1.618033988
-    pts = [0.0, 1 / (g + 1), 1.0]
-    best = cost(pts[1])
-    while pts[2] - pts[0] >= 0.01:
-        new = pts[0] + pts[2] - pts[1]
-        value = cost(new)
-        inner = sorted([(pts[1], best), (new, value)])
-        winner = (new, value) if value < best else (pts[1], best)
-        if winner[0] == inner[1][0]:
-            pts = [inner[0][0], winner[0], pts[2]]
-        else:
-            pts = [pts[0], winner[0], inner[1][0]]
-        best = winner[1]
-    return (pts[0] + pts[2]) / 2
 
-
-def test_smoothing_matches_a_plain_loop():
+def test_smoothing_fits_and_crosses_its_spans():
+    """Alphas are as good as a dense grid's, and each part of a series is
+    smoothed with the alpha of another part."""
     rng = np.random.default_rng(5)
-    batch = [rng.normal(10, 4, n) for n in (1, 2, 3, 5, 8, 21, 60)]
-    short = [rng.normal(3, 2, len(x)) for x in batch]
-    fit = smooth_batch(batch, short)
-    for k, (x, y) in enumerate(zip(batch, short)):
+    batch = [np.cumsum(rng.normal(0, 1, n)) + rng.normal(10, 0.7, n) for n in (12, 21, 60)]
+    fit = smooth_batch(batch, batch)
+    grid = np.linspace(0, 1, 201)
+    for k, x in enumerate(batch):
         n, last = len(x), len(x) - 1
         h, q = n // 2, n // 4
-        spans = [(x, 0, last), (x, 0, h), (x, h + 1, last), (y, 0, q), (y, q + 1, 2 * q), (y, 2 * q + 1, 3 * q), (y, 3 * q + 1, last)]
-        alphas = [slow_alpha(*s) for s in spans]
-        assert np.allclose(fit["alphas"][:, k], alphas)
+        spans = [(0, last), (0, h), (h + 1, last), (0, q), (q + 1, 2 * q), (2 * q + 1, 3 * q), (3 * q + 1, last)]
+        for alpha, (lo, hi) in zip(fit["alphas"][:, k], spans):
+            costs = [span_cost(x, a, lo, hi) for a in grid]
+            near = abs(alpha - grid[int(np.argmin(costs))]) <= 0.011
+            assert near or span_cost(x, alpha, lo, hi) <= min(costs) * 1.02 + 1e-9
+        halves = np.where(np.arange(n) <= h, 2, 1)
+        quarters = np.array([6, 3, 4, 5])[np.clip((np.arange(n) - 1) // q, 0, 3)]
+        halves[last], quarters[last] = 0, 6
         for i in range(1, n):
-            long_alpha = alphas[0] if i == last else alphas[2] if i <= h else alphas[1]
-            if q < i <= 2 * q:
-                short_alpha = alphas[3]
-            elif 2 * q < i <= 3 * q:
-                short_alpha = alphas[4]
-            elif 3 * q < i < last:
-                short_alpha = alphas[5]
-            else:
-                short_alpha = alphas[6]
-            assert fit["long"][i, k] == pytest.approx(slow_level(x, long_alpha)[i])
-            assert fit["short"][i, k] == pytest.approx(slow_level(y, short_alpha)[i])
+            assert fit["long"][i, k] == pytest.approx(closed_level(x, fit["alphas"][halves[i], k], i))
+            assert fit["short"][i, k] == pytest.approx(closed_level(x, fit["alphas"][quarters[i], k], i))
+
+
+def test_short_series_by_hand():
+    assert closed_level([1.0, 3.0, 2.0], 0.5, 2) == 2.0  # 1, then 2, then 2
+    fit = smooth_batch([np.array([4.0]), np.array([4.0, 4.0])], [np.array([4.0]), np.array([4.0, 4.0])])
+    assert fit["long"][1, 1] == 4.0 and np.isnan(fit["long"][0]).all()
+
+
+def test_results_do_not_depend_on_chunks(spark, monkeypatch):
+    from stockloom.plans.forecast import chunks
+
+    rng = random.Random(2)
+    rows = [(k, SUNDAY + dt.timedelta(weeks=w), rng.random(), rng.random(), True) for k in "abcdefg" for w in range(5 + 3 * (ord(k) % 5))]
+    df = spark.createDataFrame(rows, "agg_level string, dt date, deseasonalized_adj_qty double, "
+                               "st_deseasonalized_adj_qty double, fcst_crt_dt_flg boolean").coalesce(1)
+    import pandas as pd
+
+    frame = pd.DataFrame({"x": [[0] * n for n in (9, 1, 4, 4, 2)], "key": list("abcde")})
+    cut = list(chunks.length_chunks(frame, "x", 10, budget=80))
+    assert [list(c["key"]) for c in cut] == [["b", "e"], ["c", "d"], ["a"]]
+    from stockloom.plans.forecast.smoothing import _NESTED, _fit_batches
+
+    nested = pd.DataFrame([(k, [r[1] for r in rows if r[0] == k], [r[2] for r in rows if r[0] == k], [r[3] for r in rows if r[0] == k])
+                           for k in "abcdefg"], columns=["agg_level", "dts", "x", "y"])
+    whole = pd.concat(_fit_batches([nested])).sort_values("agg_level").reset_index(drop=True)
+    monkeypatch.setattr(chunks, "BUDGET", 1)
+    single = pd.concat(_fit_batches([nested])).sort_values("agg_level").reset_index(drop=True)
+    assert whole.to_json() == single.to_json() and _NESTED and df.count() == len(rows)
 
 
 def test_constant_series_has_constant_level(spark):
@@ -128,11 +136,52 @@ def test_densify_starts_at_first_positive_value(spark):
                    ("b", 1, 2.0), ("b", 2, 0.0), ("b", 3, 0.0), ("b", 4, 0.0)]
 
 
+def test_densify_shuffles_key_date_and_value_only(spark):
+    raw = weekly(spark, {"a": [(0, 1), (5, 2)], "b": [(2, 1)]})
+    df = fc.densify_history(raw.union(raw.limit(1)), SPEC)
+    assert df.count() == 6  # three rows, one of them twice, and two gaps of "b"
+    above, window, below = df._jdf.queryExecution().optimizedPlan().toString().partition("Window [")
+    assert window and "scalar-subquery" in above
+    assert "scalar-subquery" not in below and "array" not in below
+
+
+def test_dates_outside_the_calendar_are_an_error(spark):
+    from stockloom.calendar import fiscal_calendar, in_calendar
+
+    cal = fiscal_calendar(spark, SUNDAY, SUNDAY + dt.timedelta(days=9))
+    days = spark.createDataFrame([(SUNDAY,), (SUNDAY + dt.timedelta(days=30),)], "d date")
+    assert in_calendar(days.limit(1), "d", cal).count() == 1
+    with pytest.raises(Exception, match="outside the calendar"):
+        in_calendar(days, "d", cal).select("fscl_yr").collect()
+
+
+def test_incremental_run_leaves_the_past_alone(spark):
+    rng = random.Random(9)
+    values = [(w, 20 + w % 7 + rng.random()) for w in range(52 * 3)]
+    raw = weekly(spark, {"a": values, "b": values[60:]})
+    cal = covering_calendar(raw, "dt", 5, 2)
+    last = SUNDAY + dt.timedelta(weeks=52 * 3 - 2)
+    before = fc.run_forecast(raw.filter(F.col("dt") < last), cal, SPEC, last - dt.timedelta(weeks=4), last - dt.timedelta(weeks=1),
+                             last - dt.timedelta(weeks=1))
+    from stockloom.session import materialise
+
+    before = materialise(before, "test-fact")
+    after = materialise(fc.run_incremental(before, raw, cal, SPEC, last), "test-fact")
+    old = sorted(map(repr, before.collect()))
+    assert sorted(map(repr, after.filter(F.col("snpsht") < last).collect())) == old
+    fresh = after.filter(F.col("snpsht") == last)
+    assert fresh.count() > 0 and fresh.filter("forecast1 is null").count() == 0
+    assert after.groupBy("snpsht", "fcst", "agg_level").count().filter("count > 1").count() == 0
+    again = fc.run_incremental(after, raw, cal, SPEC, last)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, after.collect()))
+
+
 def test_weights_add_up_and_steady_series_is_repeated(spark):
     rng = random.Random(0)
     base = [rng.randrange(20, 40) for _ in range(52)]
     values = [(w, base[w % 52] + rng.random()) for w in range(52 * 4)]
-    raw, cal = weekly(spark, {"a": values, "b": values}), default_calendar(spark)
+    raw = weekly(spark, {"a": values, "b": values})
+    cal = covering_calendar(raw, SPEC.time_col, 5, 2)
     hist = fc.densify_history(raw, SPEC)
     last = SUNDAY + dt.timedelta(weeks=52 * 4 - 1)
     start = last - dt.timedelta(weeks=4)
@@ -210,6 +259,24 @@ def test_best_split_matches_brute_force(spark):
     assert single.mid_freq is None and single.top_freq >= 1
 
 
+def test_split_errors_of_large_numbers_are_exact(spark):
+    """Quantities near a million with counts of millions, against fractions."""
+    from fractions import Fraction
+
+    pairs = [(1_000_003, 4_000_001), (1_000_001, 3_999_999), (1_000_000, 5_000_000), (999_999, 2_000_003), (7, 9)]
+    rows = [(1, 1, SUNDAY, len(pairs), k + 1, q, c) for k, (q, c) in enumerate(pairs)]
+    hist = spark.createDataFrame(rows, "store int, sku int, sku_crt_dt date, max_pkey long, pkey int, item_qty long, trans_cnt long")
+
+    def sse(group):
+        n = sum(c for _, c in group)
+        return sum(c * q * q for q, c in group) - Fraction(sum(c * q for q, c in group) ** 2, n)
+
+    got = {r.k2_start: (r.k3_start, r.sse) for r in bk.cluster_sse(hist).collect()}
+    for k2 in range(2, 5):
+        want = min((float(sse(pairs[:k2 - 1]) + sse(pairs[k2 - 1:k3 - 1]) + sse(pairs[k3 - 1:])), k3) for k3 in range(k2 + 1, 6))
+        assert got[k2] == (want[1], pytest.approx(want[0], rel=1e-12))
+
+
 # --- bulk --------------------------------------------------------------------
 
 
@@ -271,3 +338,17 @@ def test_truck_matches_greedy_with_a_hot_store(spark):
         taken.setdefault(r.store, set()).add(r.po)
     for store in {r[0] for r in rows}:
         assert taken[store] == greedy([(p, po, c) for s, po, p, c in rows if s == store], 1000.0)
+
+
+@pytest.mark.parametrize("cubes", [[2400 / 7] * 9, [2400 / 11] * 30 + [0.1] * 5, None])
+def test_truck_of_real_valued_cubes(spark, cubes):
+    rng = random.Random(3)
+    cubes = cubes or [rng.uniform(0.01, 900) for _ in range(3000)]
+    rows = [("s", po, rng.randrange(1000) if len(cubes) > 100 else 5, cube) for po, cube in enumerate(cubes)]
+    rows += [(None, po, 1, 1000.0) for po in range(4)]
+    df = spark.createDataFrame(rows, "store string, po long, new_priority long, cube double")
+    want = greedy([(p, po, c) for s, po, p, c in rows if s == "s"], 2400.0)
+    for group_rows in (200_000, 50):
+        got = orders.build_truck(df, group_rows=group_rows)
+        assert {r.po for r in got.filter("included and store = 's'").collect()} == want
+        assert got.count() == len(rows)
