@@ -11,13 +11,14 @@ that share a band are compared exactly.
 Equal sets are one class from the start, so copies never multiply.  Within a
 band's bucket every class is first compared with the bucket's smallest class
 only.  Where a bucket still spans several components after that, the classes
-outside its largest component are compared with every class of the other
-components, so no link between two components that share a band is lost.
+outside the largest component are compared, block by block, with every class of
+the other components, so no link between two components that share a band is
+lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ from stockloom.llm.common import ascii_words, mix, with_python
 from stockloom.session import materialise
 
 BANDS, ROWS = 64, 8
+#: Bytes of shingle hashes in a block of sets that one task compares.
+BLOCK_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BALLS = 4096
 
@@ -119,6 +122,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "ga", "gb").mapInPandas(run, "a long, b long")
 
 
+def _compare_blocks(percent: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Compares every left set with every right one; gives a link for each two
+    components that meet for the first time."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            sets = [np.frombuffer(g, np.uint64) for g in right["y_grams"]]
+            sizes = np.array([len(x) for x in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            hashes = np.concatenate(sets)
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            nodes, comps = right["y_node"].to_numpy(), right["y_comp"].to_numpy()
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.get(c, c) != c:
+                    c = parent[c] = parent.get(parent[c], parent[c])
+                return c
+
+            for x, comp, grams in zip(left["x_node"], left["x_comp"], left["x_grams"]):
+                mine = np.frombuffer(grams, np.uint64)
+                lo, hi = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(sets))
+                near = np.flatnonzero((100 * both >= percent * (len(mine) + sizes - both)) & (comps != comp))
+                for i in near[np.unique(comps[near], return_index=True)[1]]:
+                    a, b = root(int(comp)), root(int(comps[i]))
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(x), int(nodes[i])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _between_components(rest: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket (band, node, comp).
+
+    The nodes of a cluster, the nodes joined by buckets, are cut into blocks of
+    bounded size.  Two blocks are compared if one holds a node outside its
+    cluster's largest component that shares a bucket with a node of the other.
+    Sets are compared inside the task, all of one block with all of the other;
+    no pair is a row, and only links that join two components come out.
+    """
+    nodes = rest.select("node", "comp").distinct().join(clusters, "node").join(sets, "node")
+    sized = nodes.groupBy("cluster", "comp").agg(F.count("*").alias("n"), F.sum(F.length("grams")).alias("bytes"))
+    shape = sized.groupBy("cluster").agg(
+        F.max(F.struct("n", "comp"))["comp"].alias("main"), F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
+    blocked = materialise(nodes.join(shape, "cluster").select(
+        "node", "comp", "grams", "cluster", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        (F.col("comp") != F.col("main")).alias("outside")), "near-dup-blocks")
+    near = rest.select("band", "node").join(blocked.select("node", "cluster", "block", "outside"), "node")
+    lefts = near.where("outside").select("band", "cluster", F.col("block").alias("x")).distinct()
+    rights = near.select("band", F.col("block").alias("y")).distinct()
+    tasks = lefts.join(rights, "band").select("cluster", "x", "y").distinct()
+    left, right = (
+        blocked.where(where).alias("s").join(tasks.alias("t"), F.expr(f"s.cluster = t.cluster and s.block = t.{end}"))
+        .select(*[F.col(f"t.{c}").alias(f"{end}_{c}") for c in ("cluster", "x", "y")], *[F.col(f"s.{c}").alias(f"{end}_{c}") for c in ("node", "comp", "grams")])
+        for end, where in (("x", "outside"), ("y", "true")))
+    return (left.groupBy("x_cluster", "x_x", "x_y").cogroup(right.groupBy("y_cluster", "y_x", "y_y"))
+            .applyInPandas(_compare_blocks(percent), "a long, b long"))
+
+
 def components(links: DataFrame, name: str = "component") -> DataFrame:
     """(node, comp) for the nodes of links (a, b): comp is the least node reachable.
 
@@ -169,21 +237,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = crowded.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     links = materialise(_verified(first, sets, percent), "near-dup-links")
     found = components(links)
-    placed = materialise(
-        crowded.join(found, "node", "left").select("band", "node", "low", F.coalesce("comp", "node").alias("comp")),
-        "near-dup-placed")
-    sized = placed.groupBy("band", "comp").agg(F.count("*").alias("n"))
-    split = sized.groupBy("band").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    rest = materialise(placed.join(split.select("band", "main"), "band"), "near-dup-rest")
-    left = rest.where("comp <> main").select("band", F.col("node").alias("x"), F.col("comp").alias("cx"), "low", "main")
-    right = rest.select("band", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    # Both ends outside the main component: once, by node order.  Pairs with the
-    # bucket's smallest class have been compared already.
-    cross = (left.join(right, "band")
-             .where("cx <> cy and x <> low and y <> low and (cy = main or x < y)")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = materialise(_verified(cross, sets, percent), "near-dup-more")
-    if not more.isEmpty():
+    placed = crowded.join(found, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    split = placed.groupBy("band").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one < other")
+    rest = materialise(placed.join(split.select("band"), "band"), "near-dup-rest")
+    if not rest.isEmpty():
+        clusters = components(first, "near-dup-cluster").withColumnRenamed("comp", "cluster")
+        more = materialise(_between_components(rest, clusters, sets, percent), "near-dup-more")
         found = components(links.union(more))
 
     named = classes.select("digest", "node", "rep").join(found, "node", "left") \
