@@ -62,7 +62,6 @@ class Items:
             for h in sorted(self.hash_of(s) for s in found)[:k]:
                 self.signature.setdefault(h, []).append(n)
         self.keys = np.array(sorted(self.signature), np.uint64)
-        self.short = sorted({len(s) for found in self.sets for s in found if len(s) < size})
 
     def hash_of(self, shingle: tuple[int, ...]) -> int:
         return int(self.hashes(np.array(shingle, np.uint64), len(shingle))[0])
@@ -80,21 +79,18 @@ class Items:
         tokens = plain_tokens(text)
         get = self.words.get
         words = np.array([get(t, 0) for t in tokens], np.uint64)
-        hit: set[int] = set()
-        for length in [self.size, *self.short]:
-            if len(words) < length or not len(self.keys):
-                continue
-            known = words != 0
-            full = np.flatnonzero(np.convolve(known, np.ones(length, int), "valid") == length)  # runs of known words
-            if not len(full):
-                continue
-            h = self.hashes(words, length)[full]
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            for key in np.unique(h[self.keys[at] == h]).tolist():
-                hit.update(self.signature[key])
+        length = min(self.size, len(words))
+        if not length or not len(self.keys):
+            return []
+        full = np.flatnonzero(np.convolve(words != 0, np.ones(length, int), "valid") == length)  # runs of known words
+        if not len(full):
+            return []
+        h = self.hashes(words, length)[full]
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        hit = {n for key in np.unique(h[self.keys[at] == h]).tolist() for n in self.signature[key]}
         out = []
         if hit:
-            seen = {tuple(words[i:i + n].tolist()) for n in [self.size, *self.short] for i in range(len(words) - n + 1)}
+            seen = {tuple(words[i:i + length].tolist()) for i in full}
             for n in sorted(hit):
                 both = len(self.sets[n] & seen)
                 if 100 * both >= self.percent * len(self.sets[n]):
@@ -119,7 +115,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
 
     Words are lower-cased runs of letters and digits, so punctuation and line
     breaks do not matter.  Null and wordless texts contain nothing and are
-    contained in nothing; an item of fewer words than a shingle is one shingle.
+    contained in nothing.  A text of fewer words than a shingle is one shingle,
+    so such an item is found in texts of just these words and not in longer ones.
     Repeated rows give repeated results.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))

@@ -75,7 +75,10 @@ def hilbert_shards(df: DataFrame, dims: dict[str, Column], tie: list[str], shard
     cuts = boundaries(keyed, names, bits)
 
     def place(b: pa.RecordBatch) -> dict[str, list]:
-        cells = np.stack([np.searchsorted(cut, b.column(n).to_numpy(), side="right") for n, cut in zip(names, cuts)], axis=1)
+        # Few distinct values are spread over the whole axis, else the curve's
+        # leading bits would never see them.
+        cells = np.stack([(np.searchsorted(cut, b.column(n).to_numpy(), side="right") << bits) // (len(cut) + 1)
+                          for n, cut in zip(names, cuts)], axis=1)
         return {"curve": hilbert_index(cells, bits)}
 
     curved = with_python(keyed, place, "curve long", drop=tuple(names))
