@@ -7,11 +7,12 @@ from stockloom.sources.writers import (
     export_chunked,
     export_delimited,
     rename_display,
+    replace_table,
     write_stage,
 )
 
 __all__ = [
     "append_history", "append_tagged", "explode_lines", "export_chunked",
     "export_delimited", "load_csv_explicit", "load_csv_typed",
-    "rename_display", "scan_limit", "write_stage",
+    "rename_display", "replace_table", "scan_limit", "write_stage",
 ]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from stockloom.sources.readers import load_csv_typed
 
 # Upload file limit and the display names of upload columns.
 UPLOAD_ROWS_PER_FILE = 999_999
@@ -30,6 +33,16 @@ def write_stage(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def replace_table(spark: SparkSession, csv_path: str, schema: StructType | str, path: str) -> DataFrame:
+    """Replace a preference table by a CSV file with declared column types.
+
+    A file that does not fit the types fails the write, and the committer keeps
+    a half-written table from being read.  Returns the new table.
+    """
+    write_stage(load_csv_typed(spark, csv_path, schema), path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_history(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Append a run to a history partitioned by its week."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)

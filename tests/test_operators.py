@@ -130,6 +130,18 @@ def test_rows_alike_in_every_column_are_all_numbered(spark):
     assert sorted(r.rn for r in op.row_number_by(df, ["k"], "x").collect()) == list(range(1, 1001))
 
 
+def test_a_preference_table_is_replaced(spark):
+    csv, table = stage_path(spark, "csv"), stage_path(spark, "table")
+    old = spark.createDataFrame([("x", 1)], "other string, n int")
+    src.write_stage(old, table)
+    spark.createDataFrame([("0025", "1.5"), ("0026", None)], "dept string, factor string").write.option("header", True).csv(csv)
+    got = src.replace_table(spark, csv, "dept string, factor double", table)
+    assert got.dtypes == [("dept", "string"), ("factor", "double")]
+    assert sorted(map(tuple, got.collect()), key=repr) == [("0025", 1.5), ("0026", None)]
+    with pytest.raises(Exception):
+        src.replace_table(spark, csv, "dept int, factor boolean", stage_path(spark, "bad")).collect()
+
+
 def test_pivot_finds_its_names(spark):
     df = spark.createDataFrame([("1", "b", 2.0), ("1", "a", 1.0), (None, "a", 5.0), ("All", "z", 9.0), ("1", None, 3.0)], "r string, n string, v double")
     assert op.pivot_sum(df, "r", "n", "v").columns == ["r", "a", "b"]
