@@ -163,24 +163,34 @@ def features(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_co
 
 
 def _surest(stage: DataFrame, judge: Judge, known: set, n: int, sure: float) -> list[list[dict]]:
-    """Per list (text good, text bad, metadata good, metadata bad) the ``n`` rows
-    of the whole stage that the view is surest of, at least ``sure``."""
+    """Per list (text good, text bad, metadata good, metadata bad) the ``n`` texts
+    of the whole stage that the view is surest of, at least ``sure``.
+
+    Rows of one text view count once, so a large group of copies does not fill
+    a list.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a, m, _ = judge.scores(_matrix(b.column("text_view")), _matrix(b.column("meta_view")))
-            ids = b.column("id").to_pylist()
+            ids, views = b.column("id").to_pylist(), b.column("text_view").to_pylist()
             free = np.array([i not in known for i in ids], bool)
             for which, p in enumerate((a, 1 - a, m, 1 - m)):
-                # No row outside its batch's first n can be among the first n of all.
+                # No text outside its batch's first n can be among the first n of all.
                 best = np.flatnonzero(free & (p >= sure))
-                best = best[np.lexsort((best, -p[best]))][:n]
+                best = best[np.lexsort((best, -p[best]))]
+                first: dict[bytes, int] = {}
+                for i in best.tolist():
+                    first.setdefault(views[i], i)
+                best = np.array([*first.values()][:n], int)
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c).take(pa.array(best)) for c in ("id", "text_view", "meta_view")), pa.array(np.full(len(best), which), pa.int32()), pa.array(p[best])],
                     ["id", "text_view", "meta_view", "list", "p"])
 
     kind = stage.schema["id"].dataType.simpleString()
-    chosen = materialise(stage.mapInArrow(run, f"id {kind}, text_view binary, meta_view binary, list int, p double"), "cotrain-sure")
-    return [[r.asDict() for r in chosen.where(f"list = {i}").orderBy(F.desc("p"), "id", "text_view").limit(n).collect()] for i in range(4)]
+    found = stage.mapInArrow(run, f"id {kind}, text_view binary, meta_view binary, list int, p double")
+    one = F.min(F.struct((-F.col("p")).alias("q"), "id", "meta_view")).alias("one")
+    chosen = materialise(found.groupBy("list", "text_view").agg(one).select("list", "text_view", "one.*"), "cotrain-sure")
+    return [[r.asDict() for r in chosen.where(f"list = {i}").orderBy("q", "id", "text_view").limit(n).collect()] for i in range(4)]
 
 
 def train(stage: DataFrame, labels: DataFrame, rounds: int = 3, per_round: int = 300, sure: float = 0.97,
