@@ -21,6 +21,16 @@ def _lines(i: Inputs):
     return i.lineitem.select("*", F.to_date("l_shipdate").alias("ship"))
 
 
+def _no_a(c: str):
+    """A text key with NULL in place of one value."""
+    return F.nullif(c, F.lit("A")).alias(c)
+
+
+def _no_7(c: str):
+    """A key that is NULL for every seventh value."""
+    return F.when(F.col(c) % 7 != 0, F.col(c)).alias("k")
+
+
 def _round_trip_csv(i: Inputs, explicit: bool):
     """Export part as CSV and load it with declared types."""
     path = stage_path(i.spark, "preferences")
@@ -141,7 +151,8 @@ def _seasons(i: Inputs):
 
 def _percent(i: Inputs):
     return op.partition_percentile(
-        i.lineitem, ["l_returnflag"], "l_extendedprice", [0.1, 0.5, 0.99], ["p10", "p50", "p99"])
+        i.lineitem.select(_no_a("l_returnflag"), "l_extendedprice"), ["l_returnflag"], "l_extendedprice",
+        [0.1, 0.5, 0.99], ["p10", "p50", "p99"])
 
 
 def _weekly(i: Inputs):
@@ -216,12 +227,13 @@ QUERIES = [
         """SELECT c_custkey, c_acctbal / 8 AS plain, ROUND(c_acctbal / 8) AS rounded,
         GREATEST(c_acctbal / 8, 0) AS floored, ROUND(GREATEST(c_acctbal / 8, 0)) AS both FROM customer"""),
     Query("p5_clip_percentile", lambda i: op.clip_percentile(
-        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice"), ["l_returnflag"],
+        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _no_a("l_returnflag"), "l_extendedprice"), ["l_returnflag"],
         "l_extendedprice", 0.01, 0.99, "clipped"),
         "l_orderkey:i, l_linenumber:i, l_partkey:i, l_suppkey:i, clipped:f4",
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, LEAST(GREATEST(l_extendedprice, lo), hi) AS clipped
-        FROM lineitem JOIN (SELECT l_returnflag AS f, quantile_cont(l_extendedprice, 0.01) AS lo,
-        quantile_cont(l_extendedprice, 0.99) AS hi FROM lineitem GROUP BY 1) q ON l_returnflag = f"""),
+        FROM lineitem JOIN (SELECT NULLIF(l_returnflag, 'A') AS f, quantile_cont(l_extendedprice, 0.01) AS lo,
+        quantile_cont(l_extendedprice, 0.99) AS hi FROM lineitem GROUP BY 1) q
+        ON NULLIF(l_returnflag, 'A') IS NOT DISTINCT FROM f"""),
     Query("p6_cap_value", lambda i: i.orders.select("o_orderkey", fx.cap_value("o_totalprice").alias("capped")),
           "o_orderkey:i, capped:f2",
           "SELECT o_orderkey, CASE WHEN o_totalprice > 9999 THEN 9999 ELSE o_totalprice END AS capped FROM orders"),
@@ -419,23 +431,23 @@ QUERIES = [
         """SELECT l_suppkey, COUNT(*) AS cnt, AVG(l_quantity) AS mean, STDDEV_POP(l_quantity) AS sd
         FROM lineitem GROUP BY 1"""),
     Query("w1_share_of_total", lambda i: op.share_of_total(
-        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), ["l_suppkey"], "l_quantity", "share"),
+        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", _no_7("l_suppkey")), ["k"], "l_quantity", "share"),
         "l_orderkey:i, l_linenumber:i, l_partkey:i, l_suppkey:i, share:f8",
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / SUM(l_quantity) OVER
-        (PARTITION BY l_suppkey) AS share FROM lineitem"""),
+        (PARTITION BY CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END) AS share FROM lineitem"""),
     Query("w2_period_rank", lambda i: op.period_rank(_lines(i), "ship"), "ship:d, period_rank:i",
           """SELECT ship, ROW_NUMBER() OVER (ORDER BY ship) AS period_rank FROM
           (SELECT DISTINCT CAST(l_shipdate AS DATE) AS ship FROM lineitem) x"""),
     Query("w3_row_number_by", lambda i: op.row_number_by(
-        i.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice",
-        ties=["o_orderkey"], descending=True), "o_orderkey:i, o_orderpriority:s, rn:i",
-        """SELECT o_orderkey, o_orderpriority, ROW_NUMBER() OVER (PARTITION BY o_orderpriority
-        ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders"""),
+        i.orders.select("o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), "o_totalprice"),
+        ["o_orderpriority"], "o_totalprice", ties=["o_orderkey"], descending=True), "o_orderkey:i, o_orderpriority:s, rn:i",
+        """SELECT o_orderkey, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority, ROW_NUMBER() OVER
+        (PARTITION BY NULLIF(o_orderpriority, '5-LOW') ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders"""),
     Query("w4_count_over", lambda i: op.count_over(
-        i.lineitem.groupBy("l_suppkey", "l_quantity").agg(F.count("*").alias("trans")), ["l_suppkey"], "n"),
+        i.lineitem.groupBy("l_suppkey", "l_quantity").agg(F.count("*").alias("trans")).select("*", _no_7("l_suppkey")), ["k"], "n"),
         "l_suppkey:i, l_quantity:f, trans:i, n:i",
-        """SELECT l_suppkey, l_quantity, COUNT(*) AS trans, COUNT(*) OVER (PARTITION BY l_suppkey) AS n
-        FROM lineitem GROUP BY 1, 2"""),
+        """SELECT *, COUNT(*) OVER (PARTITION BY CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END) AS n
+        FROM (SELECT l_suppkey, l_quantity, COUNT(*) AS trans FROM lineitem GROUP BY 1, 2)"""),
     Query("w5_neighbours", lambda i: op.neighbours(_weekly(i), ["p_brand"], "dt", "qty", "prev", "nxt"),
           "p_brand:s, dt:d, prev:f, nxt:f",
           f"""SELECT p_brand, dt, LAG(qty) OVER w AS prev, LEAD(qty) OVER w AS nxt FROM {WEEKLY_SQL} x
@@ -451,17 +463,19 @@ QUERIES = [
         FROM {WEEKLY_SQL} x WINDOW w AS (PARTITION BY p_brand ORDER BY dt ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING)""",
         ("history",)),
     Query("w8_partition_percentile", _percent, "l_returnflag:s, p10:f4, p50:f4, p99:f4",
-          """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.1) AS p10, quantile_cont(l_extendedprice, 0.5) AS p50,
+          """SELECT NULLIF(l_returnflag, 'A') AS l_returnflag, quantile_cont(l_extendedprice, 0.1) AS p10, quantile_cont(l_extendedprice, 0.5) AS p50,
           quantile_cont(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY 1"""),
     Query("w9_leave_one_out_mean", lambda i: op.leave_one_out_mean(
-        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), ["l_partkey"], "l_quantity", "others"),
+        i.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", _no_7("l_partkey")), ["k"], "l_quantity", "others"),
         "l_orderkey:i, l_linenumber:i, l_partkey:i, l_suppkey:i, others:f8",
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (SUM(l_quantity) OVER p - l_quantity)
-        / NULLIF(COUNT(*) OVER p - 1, 0) AS others FROM lineitem WINDOW p AS (PARTITION BY l_partkey)"""),
+        / NULLIF(COUNT(*) OVER p - 1, 0) AS others FROM lineitem
+        WINDOW p AS (PARTITION BY CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END)"""),
     Query("w10_max_over", lambda i: op.max_over(
-        i.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey"], "o_orderpriority", "top"),
+        i.orders.select("o_orderkey", "o_custkey", "o_orderpriority", _no_7("o_custkey")), ["k"], "o_orderpriority", "top"),
         "o_orderkey:i, o_custkey:i, top:s",
-        "SELECT o_orderkey, o_custkey, MAX(o_orderpriority) OVER (PARTITION BY o_custkey) AS top FROM orders"),
+        """SELECT o_orderkey, o_custkey, MAX(o_orderpriority) OVER
+        (PARTITION BY CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END) AS top FROM orders"""),
     Query("o1_report_order", lambda i: op.report_order(
         i.lineitem.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("qty")), ["l_suppkey"]), "l_suppkey:i, qty:f",
         "SELECT l_suppkey, SUM(l_quantity) AS qty FROM lineitem GROUP BY 1 ORDER BY 1"),
