@@ -83,9 +83,9 @@ def hilbert_shards(df: DataFrame, dims: dict[str, Column], tie: list[str], shard
 
     curved = with_python(keyed, place, "curve long", drop=tuple(names))
     order = ["curve", *tie]
-    ranked = with_before(in_ranges(curved, order, "hilbert"), order, {"rank": F.lit(1).cast("long")})
-    rows = ranked.select(F.count("*").alias("rows"))
-    return (ranked.crossJoin(F.broadcast(rows))  # one row
+    staged = in_ranges(curved, order, "hilbert")
+    ranked = with_before(staged, order, {"rank": F.lit(1).cast("long")})
+    return (ranked.withColumn("rows", staged.agg(F.count(F.lit(1))).scalar())
             .withColumn("shard", F.expr(f"(rank * {shards}) div rows").cast("int"))
             .withColumn("slot", F.expr(f"rank - (shard * rows + {shards - 1}) div {shards}"))
             .drop("rank", "rows"))
