@@ -144,11 +144,12 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     order = ["id", "key"]
     ring = materialise(
         with_neighbours(in_ranges(listed, [*order, "n"], "omh-order"), [*order, "n"], around=True)
-        .select("key", F.col("previous.key").alias("previous_key"), F.col("next.key").alias("next_key"),
+        .select("key", "id", F.col("previous.key").alias("previous_key"), F.col("next.key").alias("next_key"),
                 F.floor(F.col("previous.n") / share).cast("int").alias("wanted"),
                 F.floor(F.col("n") / share).cast("int").alias("cut")), "omh-ring")
-    # Only the heads that an edit needs move to the document before.
-    placed = docs.join(ring, "key")
+    # Only the heads that an edit needs move to the document before.  Both uses
+    # of the texts read the same columns, so they are shuffled once.
+    placed = docs.select("key", "text").join(ring, "key")
     heads = placed.select(F.col("previous_key").alias("key"), F.substring("text", F.lit(1), F.col("wanted")).alias("head")) \
         .groupBy("key").agg(F.first("head").alias("head"))
     n = F.char_length("text")
