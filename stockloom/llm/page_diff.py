@@ -200,7 +200,8 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     def parse(b: pa.RecordBatch) -> dict[str, list]:
         pages = [page_lines(h) for h in b.column("html").to_pylist()]
-        return {"lines": [[{"text": t, "place": p} for t, p in page] for page in pages],
+        return {"marked": [any(p > ELSEWHERE for _, p in page) for page in pages],
+                "lines": [[{"text": t, "place": p} for t, p in page] for page in pages],
                 "hashes": [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in page] for page in pages]}
 
     def difference(b: pa.RecordBatch) -> dict[str, list]:
@@ -209,7 +210,7 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     raw = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     pages = materialise(
-        with_python(raw, parse, "lines array<struct<text: string, place: int>>, hashes array<long>", drop=("html",))
+        with_python(raw, parse, "marked boolean, lines array<struct<text: string, place: int>>, hashes array<long>", drop=("html",))
         .withColumn("row", F.monotonically_increasing_id()), "page-lines")
     order = ["host", "path", "id", "row"]
     placed = with_neighbours(
@@ -223,8 +224,12 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     mates = placed.select("row", F.when(before.isNotNull() & (after.isNull() | (before <= after)), F.col("previous.row"))
                           .when(after.isNotNull(), F.col("next.row")).alias("mate")).where("mate is not null")
     hashes = pages.select(F.col("row").alias("mate"), F.col("hashes").alias("mate_hashes"))
-    paired = pages.join(mates.join(hashes, "mate").select("row", "mate_hashes"), "row", "left")
-    texts = with_python(paired.select("id", "url", "lines", "hashes", "mate_hashes"), difference, "text string",
+    # Pages that mark their text need no mate, so they are not shuffled; any page
+    # can be the mate of one that does.
+    columns = ["id", "url", "lines", "hashes"]
+    paired = pages.where("not marked").join(mates.join(hashes, "mate").select("row", "mate_hashes"), "row", "left")
+    alone = pages.where("marked").select(*columns, F.lit(None).cast("array<long>").alias("mate_hashes"))
+    texts = with_python(paired.select(*columns, "mate_hashes").unionByName(alone), difference, "text string",
                         drop=("lines", "hashes", "mate_hashes"))
     return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                         F.char_length("text").cast("long").alias("n_chars"))
