@@ -129,11 +129,16 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int,
-                  id_col: str = "doc_id", text_col: str = "text", batch: int = 256) -> None:
+                  id_col: str = "doc_id", text_col: str = "text", batch: int = 256,
+                  file_bytes: int = 1 << 26) -> None:
     """Writes every row's token ids, ended by ``end_id``, in ascending id order.
 
     A null text is empty; null ids come first; rows of one id follow each other
-    in text order, repeated rows included.  Other columns are not written.
+    by the first 1,024 characters of their texts, then by the texts' hashes,
+    repeated rows included, over as many files as they need.  Files are as many
+    as keep ``file_bytes`` of text in each on average.  Other columns are not
+    written.  ``df`` must be read from files, so that a task that is run again
+    numbers its rows alike.
     ``tokenizer`` must be readable under that name on every executor.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +154,14 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(tasks_of(rows), F.col("no_id").desc(), "id").sortWithinPartitions(F.col("no_id").desc(), "id", "text")
+    # An id may hold any share of the rows, so ranges go on through the text and,
+    # for equal rows, a running number.  Range bounds must stay short: the text
+    # is compared by its start, then by its hash.
+    order = [F.col("no_id").desc(), F.col("id"), F.substring("text", 1, 1024), F.xxhash64("text"), F.col("copy")]
+    total = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    tasks = max(tasks_of(rows), -(-total // file_bytes))
+    numbered = rows.withColumn("copy", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("copy")
     frames = ordered.mapInPandas(run, "value binary")
     frames.select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", "\n").text(path)
 

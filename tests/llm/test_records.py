@@ -65,6 +65,22 @@ def test_round_trip(spark, docs, tokenizer):
         assert doc_id == r.doc_id and size == r.length and zlib.crc32(ids.astype("<u4").tobytes()) == r.ids_crc32
 
 
+def test_one_id_spans_files(spark, docs):
+    texts = [f"text {i % 50:02d} of one id" for i in range(400)] + ["the very same row"] * 400
+    for hot in (7, None):
+        got = sorted(token_records(docs([(hot, t) for t in texts] + [(9, "other")]), *tokenizer_files(), END_ID).collect(), key=lambda r: r.start)
+        files = [r.path for r in got]
+        assert len(set(files)) >= 6 and max(map(files.count, files)) < 300
+        assert files == sorted(files) and got[-1].doc_id == 9 and len(got) == 801
+        assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
+
+
+def test_bytes_of_a_file_are_bounded(spark, docs, tmp_path):
+    write_records(docs([(i, "some text " * 100) for i in range(500)]), str(tmp_path / "r"), *tokenizer_files(), END_ID, file_bytes=10_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "r").glob("part-*")]
+    assert len(sizes) > 40 and max(sizes) < 40_000 and record_index(spark, str(tmp_path / "r")).count() == 500
+
+
 def test_empty_table(spark, docs, tmp_path):
     assert token_records(docs([]), *tokenizer_files(), END_ID).count() == 0
     write_records(docs([(1, "x")]), str(tmp_path / "r"), *tokenizer_files(), END_ID)
