@@ -52,7 +52,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token records in the shared folder, and where each one is."""
     ship_package(spark)
     path, pattern = tokenizer_files()
-    return records.token_records(docs, path, pattern, END_ID)
+    return records.token_records(docs, path, pattern, END_ID, added=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

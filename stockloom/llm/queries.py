@@ -49,7 +49,7 @@ def op5_fast_sketch_near_dup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_token_records(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = tokenizer_files()
-    return records.token_records(_table(spark, folder, "documents"), path, pattern, END_ID) \
+    return records.token_records(_table(spark, folder, "documents"), path, pattern, END_ID, added=True) \
         .select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

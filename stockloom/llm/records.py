@@ -70,13 +70,18 @@ class Encoder:
     itself.  A single space between two other characters always begins a piece,
     so texts are split there, and units and pieces met before come from bounded
     tables; only new pieces go to the library.  Texts in which white space
-    characters stand side by side are cut by the pattern as a whole.  Strings of
-    special tokens in a text are ordinary text.
+    characters stand side by side are cut by the pattern as a whole.
+
+    With ``added`` a string of an added token in a text is that token, as the
+    library has it by default: texts that hold such a string go to the library
+    whole.  Without, such strings are ordinary text.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -97,6 +102,12 @@ class Encoder:
         return {u: b"".join([known.get(p) or got[p] for p in ps]) for u, ps in cut.items()}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        holding = {i for i, t in enumerate(texts) if any(c in t for c in self.added)}
+        rest = iter(self._encode([t for i, t in enumerate(texts) if i not in holding]))
+        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, f"<u{self.width}") if i in holding else next(rest)
+                for i, t in enumerate(texts)]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         cuts = [self.pieces_of(t) if self.crowded(t) else self._units(t) for t in texts]
         get = self.units.get
         found = [list(map(get, us)) for us in cuts]
@@ -118,19 +129,19 @@ class Encoder:
         return [*([first] if first else []), *[" " + r for r in rest]]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, bool], Encoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, added: bool = False) -> Encoder:
     """One per worker process, kept between tasks."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
+    if (path, pattern, added) not in _encoders:
+        _encoders[path, pattern, added] = Encoder(path, pattern, added)
+    return _encoders[path, pattern, added]
 
 
 def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int,
                   id_col: str = "doc_id", text_col: str = "text", batch: int = 256,
-                  file_bytes: int = 1 << 26) -> None:
+                  file_bytes: int = 1 << 26, added: bool = False) -> None:
     """Writes every row's token ids, ended by ``end_id``, in ascending id order.
 
     A null text is empty; null ids come first; rows of one id follow each other
@@ -138,11 +149,11 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     repeated rows included, over as many files as they need.  Files are as many
     as keep ``file_bytes`` of text in each on average.  Other columns are not
     written.  ``df`` must be read from files, so that a task that is run again
-    numbers its rows alike.
+    numbers its rows alike.  ``added`` as in ``Encoder``.
     ``tokenizer`` must be readable under that name on every executor.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(tokenizer, pattern)
+        coder = encoder(tokenizer, pattern, added)
         end = np.array([end_id], f"<u{coder.width}")
         for b in batches:
             for at in range(0, len(b), batch):
@@ -189,7 +200,7 @@ def record_index(spark, path: str, end_id: int | None = None) -> DataFrame:
 
 
 def token_records(df: DataFrame, tokenizer: str, pattern: str, end_id: int,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Writes records and index to the shared folder and reads them back.
 
     One row per record: id, start (ids in all records before it), n_tokens,
@@ -199,7 +210,7 @@ def token_records(df: DataFrame, tokenizer: str, pattern: str, end_id: int,
 
     spark = df.sparkSession
     path, index_path = stage_path(spark, "records"), stage_path(spark, "records-index")
-    write_records(df, path, tokenizer, pattern, end_id, id_col, text_col)
+    write_records(df, path, tokenizer, pattern, end_id, id_col, text_col, added=added)
     record_index(spark, path).write.mode("overwrite").parquet(index_path)
     index = spark.read.parquet(index_path)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stockloom.llm.queries import END_ID, tokenizer_files
+from stockloom.llm.queries import END_ID, QUERIES, tokenizer_files
 from stockloom.llm.records import Encoder, frame, masked_crc, read_frame, record_index, token_records, write_records
 
 TEXTS = ["", "Hello world", " lead", "trail ", "two  spaces", "three   spaces here", "tab\tand\nnew\n\nlines", "a\n b", "\n", "  ", "x \n y",
@@ -65,6 +65,18 @@ def test_round_trip(spark, docs, tokenizer):
         assert doc_id == r.doc_id and size == r.length and zlib.crc32(ids.astype("<u4").tobytes()) == r.ids_crc32
 
 
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    """The query against the tokenizer as its file gives it."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> is a token", "<|endoftext|><|endoftext|>", "no token", "two  spaces <|endoftext|>", "<|endoftext", "x\n<|endoftext|>\ny"]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    start = 0
+    for r in sorted(QUERIES["op6_token_records"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids + [END_ID]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), texts[r.doc_id]
+        start += len(ids)
+
+
 def test_one_id_spans_files(spark, docs):
     texts = [f"text {i % 50:02d} of one id" for i in range(400)] + ["the very same row"] * 400
     for hot in (7, None):
