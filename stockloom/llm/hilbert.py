@@ -55,6 +55,15 @@ def text_code(c: str) -> Column:
     return F.coalesce(F.conv(padded, 16, 10).cast("double"), F.lit(-1.0))
 
 
+def with_rank(df: DataFrame, c: str, name: str) -> DataFrame:
+    """Adds ``name``, the place of the whole text in column ``c`` among the
+    distinct ones, from 0; null has none.  ``name`` and ``part`` must not be in
+    ``df``."""
+    values = df.select(F.col(c).alias("_value")).where("_value is not null").distinct()
+    ranked = with_before(in_ranges(values, ["_value"], "ranks"), ["_value"], {name: F.lit(1).cast("long")})
+    return df.join(ranked, F.col(c) == F.col("_value"), "left").drop("_value")
+
+
 def boundaries(df: DataFrame, dims: list[str], bits: int) -> list[np.ndarray]:
     """At most 2^bits - 1 distinct quantiles of each numeric column."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]

@@ -77,8 +77,8 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
-        "doc_id", (F.length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-        hilbert.text_code("lang").alias("lang_code"), hilbert.text_code("source").alias("source_code"))
+        "doc_id", (F.length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), "lang", "source")
+    rows = hilbert.with_rank(hilbert.with_rank(rows, "lang", "lang_code"), "source", "source_code").drop("lang", "source")
     dims = {"_lang": F.col("lang_code"), "_source": F.col("source_code"), "_size": F.col("size")}
     sharded = hilbert.hilbert_shards(rows, dims, ["size", "text_crc32", "doc_id"], SHARDS)
     return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

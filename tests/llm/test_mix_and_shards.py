@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stockloom.llm.hilbert import hilbert_index, hilbert_shards, text_code, write_shards
 from stockloom.llm.mixing import mix, mix_report
+from stockloom.llm.queries import QUERIES
 
 
 def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
@@ -123,5 +124,16 @@ def test_files_prune_in_each_dimension(spark, docs, tmp_path):
         assert touched < 0.75, column
 
 
+def test_sources_of_one_beginning_are_told_apart(spark, tmp_path):
+    """Through the query: shards can be pruned by source although the names begin alike."""
+    names = [f"https://common.crawl/{i:02d}" for i in range(8)] + [None]
+    rows = [(i, "x" * (i * 37 % 2000), "en", names[i % 9], 0) for i in range(1800)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    shards = {}
+    for r in QUERIES["op10_hilbert_shards"](spark, str(tmp_path)).collect():
+        shards.setdefault(r.shard, set()).add(names[r.doc_id % 9])
+    assert len(shards) == 40 and np.mean([len(s) for s in shards.values()]) < 4
+
+
 def test_crc_is_zlib(spark):
     assert spark.range(1).select(F.crc32(F.lit("é").cast("binary"))).first()[0] == zlib.crc32("é".encode())
