@@ -1,7 +1,7 @@
 """Language by compression.
 
-Each language has a raw-content dictionary: whole texts of that language, laid
-end to end.  A text is compressed once with every dictionary; the language whose
+Each language has a raw-content dictionary: pieces of texts of that language,
+laid end to end.  A text is compressed once with every dictionary; the language whose
 dictionary gives the smallest result is chosen, and the gap to the second
 smallest is the confidence.  Texts are lower-cased first, and cut into pieces so that a dictionary
 keeps helping throughout a long text; all pieces count.
@@ -9,9 +9,11 @@ keeps helping throughout a long text; all pieces count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm.common import with_python
@@ -21,21 +23,36 @@ LEVEL = 6
 
 
 def learn_dictionaries(df: DataFrame, text_col: str, lang_col: str, dict_bytes: int = 200_000,
-                       longest: int = 4_000, key_col: str | None = None) -> dict[str, bytes]:
+                       piece: int = 2_000, key_col: str | None = None) -> dict[str, bytes]:
     """Raw-content dictionaries from a bounded sample of labelled rows.
 
-    Per language about ``dict_bytes`` of whole texts of at most ``longest``
-    characters, those of the least hashes: documented bounds, the same at every
-    corpus size.  Languages without such a text are not learned.
+    Texts of any length are cut into pieces of ``piece`` characters; a language's
+    dictionary is about ``dict_bytes`` of the pieces of least hashes, the same
+    bound at every corpus size.  Every language with a text that is not empty is
+    learned.
     """
-    fit = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.length(text_col).alias("n"), F.pmod(F.xxhash64(key_col or text_col), F.lit(1 << 30)).alias("h")).where(f"n between 1 and {longest}")
-    sizes = fit.groupBy("lang").agg(F.sum("n").alias("chars")).collect()  # one row per language
+    fit = df.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.length(text_col).alias("n"),
+        F.xxhash64(*([key_col] if key_col else []), text_col).alias("row_hash"))
+    sizes = fit.groupBy("lang").agg(F.sum("n").alias("chars"), F.min("row_hash").alias("least")).collect()  # one row per language
     if not sizes:
         return {}
+
+    def place_hash(at: Column) -> Column:
+        return F.pmod(F.xxhash64("row_hash", at), F.lit(1 << 30))
+
+    def pieces(rows: DataFrame, chosen: Callable[[Column], Column]) -> DataFrame:
+        # Places are chosen before the text is cut, so long texts are not copied once a piece.
+        places = F.filter(F.sequence(F.lit(1), F.col("n"), F.lit(piece)), chosen)
+        cut = F.transform(places, lambda at: F.struct(place_hash(at).alias("h"), F.col("text").substr(at, F.lit(piece)).alias("text")))
+        return rows.select("lang", F.inline(cut)).distinct()
+
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * dict_bytes / r["chars"]))) for r in sizes])
-    rows = fit.where(F.col("h") < share * (1 << 30)).select("lang", "h", "text").collect()  # about 2 * dict_bytes a language
+    rows = pieces(fit, lambda at: place_hash(at) < share * (1 << 30)).collect()  # about 2 * dict_bytes a language
+    missed = [r for r in sizes if r["lang"] not in {x["lang"] for x in rows}]
+    if missed:  # by chance no place was chosen; the first piece of one row each
+        first = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.col("row_hash") == r["least"]) for r in missed], F.lit(False))
+        rows += pieces(fit.where(first), lambda at: at == 1).collect()
     out: dict[str, bytes] = {}
     for lang in sorted({r["lang"] for r in sizes}):
         pool, seen = b"", set()

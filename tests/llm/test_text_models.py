@@ -43,6 +43,17 @@ def test_dictionaries_are_bounded_and_labelled(spark, docs):
     assert spark.range(1).select(held_out("id")).first()[0] == (zlib.crc32(b"0") % 5 == 0)
 
 
+def test_languages_of_long_texts_only_are_learned(spark, docs):
+    book = " ".join(f"libro{i % 977} pagina{i}" for i in range(60_000))
+    rows = [(1, "short text", "en", "s"), (2, book, "it", "s"), (None, "w" * 5_000, "ja", "s")] + [(3, "same " * 1_000, "fr", "s")] * 50
+    found = lang_zstd.learn_dictionaries(docs(rows), "text", "lang", key_col="doc_id")
+    assert sorted(found) == ["en", "fr", "it", "ja"] and 200_000 <= len(found["it"]) < 203_000
+    third = len(book) // 3
+    assert all(any(line in part for line in found["it"].decode().split("\n") if line) for part in (book[:third], book[third:2 * third], book[2 * third:]))
+    tiny = lang_zstd.learn_dictionaries(docs(rows), "text", "lang", dict_bytes=1, key_col="doc_id")
+    assert sorted(tiny) == ["en", "fr", "it", "ja"]
+
+
 def test_quality_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
