@@ -84,6 +84,16 @@ def plain_tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
+_EAST = r"\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff"
+_UNIT = re.compile(rf"[{_EAST}]|[^\W_{_EAST}]+")
+
+
+def plain_units(text: str | None) -> list[str]:
+    """As ``plain_tokens``, but ideographs, kana and Hangul one by one."""
+    low = (text or "").lower()
+    return (_TOKEN if low.isascii() else _UNIT).findall(low)
+
+
 def with_python(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, list]], added: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` without ``drop`` and with the columns that ``make`` gives per batch.
 

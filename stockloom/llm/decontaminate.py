@@ -16,37 +16,42 @@ Documents are not shuffled.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import mix, plain_tokens, where_python, with_python
+from stockloom.llm.common import mix, plain_tokens, plain_units, where_python, with_python
 
 #: Upper ends of the size partitions, in shingles; larger items have their own.
 SIZES = (8, 16, 24, 32, 48, 64, 96, 128, 192, 256, 512, 1024)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles_of(text: str | None, size: int) -> list[tuple[str, ...]]:
+def shingles_of(text: str | None, size: int, cut: Callable[[str | None], list[str]] = plain_tokens) -> list[tuple[str, ...]]:
     """Word shingles in order; a shorter text is one shingle, no words none."""
-    t = plain_tokens(text)
+    t = cut(text)
     return [tuple(t[i:i + size]) for i in range(max(1, len(t) - size + 1))] if t else []
 
 
 class Items:
-    """One block of items: shingle numbers, signatures, and their postings."""
+    """One block of items: shingle numbers, signatures, and their postings.
 
-    def __init__(self, items: list[tuple[int, str]], size: int, percent: int):
-        self.size, self.percent = size, percent
+    With ``anywhere`` items shorter than a shingle are found in texts of any
+    length, and ideographs, kana and Hangul are words of their own.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]], size: int, percent: int, anywhere: bool = False):
+        self.size, self.percent, self.anywhere = size, percent, anywhere
+        self.cut = plain_units if anywhere else plain_tokens
         self.words: dict[str, int] = {}
         self.sets: list[set[tuple[int, ...]]] = []
         self.members: list[list[int]] = []
         by_set: dict[frozenset, int] = {}
         for item_id, text in items:
-            found = {tuple(self.words.setdefault(w, len(self.words) + 1) for w in s) for s in shingles_of(text, size)}
+            found = {tuple(self.words.setdefault(w, len(self.words) + 1) for w in s) for s in shingles_of(text, size, self.cut)}
             if not found:
                 continue
             key = frozenset(found)
@@ -62,6 +67,7 @@ class Items:
             for h in sorted(self.hash_of(s) for s in found)[:k]:
                 self.signature.setdefault(h, []).append(n)
         self.keys = np.array(sorted(self.signature), np.uint64)
+        self.lengths = sorted({len(s) for found in self.sets for s in found})
 
     def hash_of(self, shingle: tuple[int, ...]) -> int:
         return int(self.hashes(np.array(shingle, np.uint64), len(shingle))[0])
@@ -76,21 +82,26 @@ class Items:
 
     def search(self, text: str | None) -> list[dict[str, int]]:
         """Item, number of its shingles and of those found, for the items that the text contains."""
-        tokens = plain_tokens(text)
+        tokens = self.cut(text)
         get = self.words.get
         words = np.array([get(t, 0) for t in tokens], np.uint64)
-        length = min(self.size, len(words))
-        if not length or not len(self.keys):
-            return []
-        full = np.flatnonzero(np.convolve(words != 0, np.ones(length, int), "valid") == length)  # runs of known words
-        if not len(full):
-            return []
-        h = self.hashes(words, length)[full]
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        hit = {n for key in np.unique(h[self.keys[at] == h]).tolist() for n in self.signature[key]}
+        lengths = self.lengths if self.anywhere else [min(self.size, len(words))]
+        hit: set[int] = set()
+        seen: set[tuple[int, ...]] = set()
+        for length in lengths:
+            if not 0 < length <= len(words) or not len(self.keys):
+                continue
+            full = np.flatnonzero(np.convolve(words != 0, np.ones(length, int), "valid") == length)  # runs of known words
+            if not len(full):
+                continue
+            h = self.hashes(words, length)[full]
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            new = {n for key in np.unique(h[self.keys[at] == h]).tolist() for n in self.signature[key]}
+            if new:
+                hit |= new
+                seen.update(tuple(words[i:i + length].tolist()) for i in full)
         out = []
         if hit:
-            seen = {tuple(words[i:i + length].tolist()) for i in full}
             for n in sorted(hit):
                 both = len(self.sets[n] & seen)
                 if 100 * both >= self.percent * len(self.sets[n]):
@@ -98,13 +109,13 @@ class Items:
         return out
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most about ``block_items`` rows, by hash."""
-    rows = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null and id is not null")
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks of at most about ``block_items`` rows, by hash; null ids last."""
+    rows = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     blocks = max(1, -(-rows.count() // block_items))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        yield sorted((r["id"], r["text"]) for r in part.collect())
+        yield sorted(((r["id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
@@ -121,7 +132,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
     out = None
-    for block in _blocks(items, item_id, item_text, block_items):
+    named = items.where(F.col(item_id).isNotNull())  # a pair names its item
+    for block in _blocks(named, item_id, item_text, block_items):
         shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent))
 
         def search(b: pa.RecordBatch, shared=shared) -> dict[str, list]:
@@ -134,10 +146,12 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_text: str = "text", item_id: str = "item_id",
-                      item_text: str = "text", size: int = 5, percent: int = 80, block_items: int = 50_000) -> DataFrame:
-    """The rows of ``docs`` that contain no item; all columns as they are."""
+                      item_text: str = "text", size: int = 5, percent: int = 80, block_items: int = 50_000,
+                      anywhere: bool = False) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with or without id; all columns
+    as they are.  ``anywhere`` as in ``Items``."""
     for block in _blocks(items, item_id, item_text, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent, anywhere))
 
         def clean(b: pa.RecordBatch, shared=shared) -> list[bool]:
             return [not shared.value.search(t) for t in b.column(doc_text).to_pylist()]

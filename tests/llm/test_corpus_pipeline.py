@@ -51,3 +51,13 @@ def test_stage_columns_and_odd_rows(spark, docs):
     kept = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, FOLDER).collect())
     assert kept == collections.Counter({(1, rows[0][1]): 1, (3, None): 1, (4, ""): 1, (None, rows[5][1]): 1, (5, rows[6][1]): 1, (1, rows[7][1]): 1})
     assert corpus_pipeline.token_output(spark, df, FOLDER).agg(F.count("*")).first()[0] == len(rows)
+
+
+def test_short_items_are_found_inside_documents(spark, docs, tmp_path):
+    items = [(1, "secret"), (None, "blue whale song"), (3, "北京烤鸭"), (4, "one two three four five six")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, "a long text that holds one secret word here"), (2, "they play a blue whale song every day"), (3, "昨天我们在城里吃了北京烤鸭很好"),
+            (4, "so one two three four five six it goes"), (5, "a blue song of the whale and nothing else"), (6, "北京的烤鸭店今天没有开门"),
+            (7, None), (8, "blue whale"), (9, "Secret!")]
+    got = corpus_pipeline.decontamination(spark, docs(rows), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [5, 6, 7, 8]
