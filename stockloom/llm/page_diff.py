@@ -4,13 +4,17 @@ Pages are cut into block lines.  Each page is paired with its neighbour in URL
 path order within its host, lines are aligned by a longest common subsequence,
 and shared lines go: what two pages of one template repeat is not their text.
 
-Differencing alone can't give the main text: menus, adverts and footers that
-differ between neighbours stay, and near copies of one article lose their text.
-So the page's own structure comes first.  Navigation, headers, footers, asides,
-forms, scripts, styles and blocks whose class, id or role says advert, sidebar,
-notice, comment or the like never become lines; where a page marks its article
-(or else its main part), the lines inside are its text and are kept even if a
-neighbour shares them.  Differencing decides on all other pages.
+Every page is compared with its mate, the nearest page of its host whose text is
+neither the same nor nearly the same.  Pages of equal lines are compared once,
+and runs of near copies are passed over.  What travels for this are hashes and
+lengths of lines; texts are shuffled once, to what is gone from them.
+
+The page's own structure is evidence beside it.  Navigation, headers, footers,
+asides, scripts, styles and blocks whose class, id or role says advert, sidebar,
+notice, comment or the like never become lines, unless such a block (or a form)
+wraps the page's text.  Where one article (or without articles the main part)
+holds most of a page's text, its lines are kept even if the mate shares them;
+all other lines, around it too, are kept unless shared.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import in_ranges, with_neighbours, with_python
+from stockloom.llm.common import in_ranges, with_before, with_python
 from stockloom.llm.url_filter import url_host, url_path
 from stockloom.session import materialise
 
@@ -33,7 +37,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset(
-    "aside button canvas dialog footer form head iframe input menu nav noscript object option script select style svg "
+    "aside button canvas dialog footer head iframe input menu nav noscript object option script select style svg "
     "template textarea title video audio".split())
 #: Words of a class, id or role that mark a block as something else than text.
 MARKS = frozenset(
@@ -47,27 +51,34 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
              "th": {"td", "th"}, "option": {"option"}}
 _FENCES = {"ul", "ol", "dl", "table", "select"}
 ELSEWHERE, MAIN, ARTICLE = 0, 1, 2
+#: A mate that shares this share of lines and of characters is nearly a copy.
+NEAR = 0.8
 
 
 class Lines(HTMLParser):
-    """Block lines of one page with the kind of place each stands in."""
+    """Block lines of one page with the kind of place each stands in.
+
+    Lines in marked blocks are noted with the blocks; ``page_lines`` decides.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, dropped, place
+        self.open: list[tuple[str, bool, int, int, tuple[int, ...]]] = []  # tag, dropped, place, article, marked blocks around
+        self.articles = self.marked = 0
+        self.holds_main: set[int] = set()  # marked blocks
         self.count: dict[str, int] = {}
         self.buffer: list[str] = []
-        self.lines: list[tuple[str, int]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
 
-    def _state(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, ELSEWHERE)
+    def _state(self) -> tuple[bool, int, int, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, ELSEWHERE, 0, ())
 
     def _end_line(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             self.buffer.clear()
             if text:
-                self.lines.append((text, self._state()[1]))
+                self.lines.append((text, *self._state()[1:]))
 
     def _pop_to(self, tag: str) -> None:
         while self.open:
@@ -93,16 +104,25 @@ class Lines(HTMLParser):
             self.buffer.append(" ")
         if tag in VOID:
             return
-        dropped, place = self._state()
+        dropped, place, article, around = self._state()
         if tag == "body":
             dropped = False
         if not dropped and tag not in ("body", "html"):
             own = dict(attrs)
             marks = _WORDS.findall(" ".join(own.get(a) or "" for a in ("class", "id", "role")).lower())
             dropped = (tag in DROPPED or (tag == "header" and place == ELSEWHERE) or "hidden" in own
-                       or own.get("aria-hidden") == "true" or not MARKS.isdisjoint(marks))
-            place = max(place, {"article": ARTICLE, "main": MAIN}.get(tag, MAIN if own.get("role") == "main" else ELSEWHERE))
-        self.open.append((tag, dropped, place))
+                       or own.get("aria-hidden") == "true")
+            if not dropped and (tag == "form" or not MARKS.isdisjoint(marks)):
+                self.marked += 1
+                around = (*around, self.marked)
+            own_place = {"article": ARTICLE, "main": MAIN}.get(tag, MAIN if own.get("role") == "main" else ELSEWHERE)
+            if not dropped and own_place == MAIN:
+                self.holds_main.update(around)
+            if own_place == ARTICLE and place < ARTICLE:  # one in another is a part of it
+                self.articles += 1
+                article = self.articles
+            place = max(place, own_place)
+        self.open.append((tag, dropped, place, article, around))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -124,10 +144,41 @@ class Lines(HTMLParser):
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
+    """Lines with their places; only lines of a dominant article are ARTICLE,
+    and only those of a dominant main part are MAIN."""
     parser = Lines()
     parser.feed(html or "")
     parser.close()
-    return parser.lines
+    lines = parser.lines
+    total = sum(len(t) for t, *_ in lines)
+
+    def most(found: list[tuple[str, int, int, tuple[int, ...]]], whole: int) -> bool:
+        return 2 * sum(len(x[0]) for x in found) >= whole > 0
+
+    # A marked block is the page's wrapper if it holds the main part or most of an
+    # article that is most of the page; on pages that mark neither, most of the text.
+    open_blocks = set(parser.holds_main)
+    marked = any(place for _, place, *_ in lines)
+    for block in {b for *_, around in lines for b in around} - open_blocks:
+        inside = [x for x in lines if block in x[3]]
+        if marked:
+            by_article = [[x for x in inside if x[2] == n] for n in {x[2] for x in inside if x[1] == ARTICLE}]
+            outside = {x[2] for x in lines if block not in x[3]}
+            if any(most(a, total) and a[0][2] not in outside for a in by_article):
+                open_blocks.add(block)
+        elif most(inside, total):
+            open_blocks.add(block)
+    lines = [x for x in lines if open_blocks.issuperset(x[3])]
+    total = sum(len(t) for t, *_ in lines)
+    articles = {x[2]: 0 for x in lines if x[1] == ARTICLE}
+    for t, place, n, _ in lines:
+        if place == ARTICLE:
+            articles[n] += len(t)
+    chosen = max(articles, key=lambda n: (articles[n], -n), default=None)
+    if chosen is not None and 2 * articles[chosen] < total:
+        chosen = None
+    main = not articles and most([x for x in lines if x[1] == MAIN], total)
+    return [(t, ARTICLE if place == ARTICLE and n == chosen else MAIN if place == MAIN and main else ELSEWHERE) for t, place, n, _ in lines]
 
 
 def _last_row(a: list[int], b: list[int]) -> np.ndarray:
@@ -180,56 +231,97 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return sorted(out)
 
 
-def main_text(lines: list[dict], mine: list[int], mate: list[int] | None) -> str:
-    """The text of a page given the line hashes of its mate (None: no mate)."""
-    best = max((line["place"] for line in lines), default=ELSEWHERE)
-    if best > ELSEWHERE:
-        return "\n".join(line["text"] for line in lines if line["place"] == best)
-    gone = set(common_lines(mine, mate)) if mate else set()
-    return "\n".join(line["text"] for i, line in enumerate(lines) if i not in gone)
+def near_copy(mine: list[int], mine_chars: list[int], mate: list[int], mate_chars: list[int]) -> bool:
+    """Whether two pages share nearly all their lines, both ways."""
+    for a, chars, b in ((mine, mine_chars, set(mate)), (mate, mate_chars, set(mine))):
+        shared = [n for x, n in zip(a, chars) if x in b]
+        if len(shared) < NEAR * len(a) or sum(shared) < NEAR * sum(chars):
+            return False
+    return True
+
+
+def main_text(lines: list[dict], gone: list[int] | None) -> str:
+    """The text of a page given the numbers of its lines that its mate shares."""
+    shared = set(gone or ())
+    return "\n".join(line["text"] for i, line in enumerate(lines) if line["place"] > ELSEWHERE or i not in shared)
+
+
+def _hashes(lines: list[tuple[str, int]]) -> list[int]:
+    return [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in lines]
+
+
+def _digest(hashes: list[int]) -> bytes:
+    return xxhash.xxh3_128_digest(np.array(hashes, np.int64).tobytes())
+
+
+def shared_lines(pages: DataFrame) -> DataFrame:
+    """(host, digest, gone): per host and different page, the numbers of its lines
+    that its mate shares; pages without a mate are missing.
+
+    ``pages`` has host, path, digest, hashes and chars, one row per page.
+    """
+    order = ["host", "path", "digest"]
+    alike = pages.where("host <> '' and size(hashes) > 0").groupBy("host", "digest", "hashes", "chars").agg(F.min("path").alias("path"))
+    full = materialise(alike, "page-hashes")
+    placed = materialise(with_before(in_ranges(full.select(*order), order, "page-order"), order, {"at": F.lit(1).cast("long")}), "page-places")
+    hosts = placed.groupBy("host").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    ranked = materialise(full.join(placed.select("host", "digest", "at"), ["host", "digest"]), "page-ranked")
+    hosts = placed.groupBy("host").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    mates = ranked.select(F.col("at").alias("mate_at"), F.col("path").alias("mate_path"), F.col("hashes").alias("mate_hashes"), F.col("chars").alias("mate_chars"))
+
+    def compare(b: pa.RecordBatch) -> dict[str, list]:
+        out = []
+        for row in b.select(["hashes", "chars", "mates"]).to_pylist():
+            fit = next((m for m in row["mates"] if not near_copy(row["hashes"], row["chars"], m["hashes"], m["chars"])), None)
+            out.append(None if fit is None else common_lines(row["hashes"], fit["hashes"]))
+        return {"gone": out}
+
+    def tried(todo: DataFrame, left: Column, right: Column, name: str) -> DataFrame:
+        sides = F.filter(F.array(left, right), lambda p: p.between(F.col("low"), F.col("high")))
+        asked = todo.select("at", "path", F.explode(sides).alias("mate_at"))
+        near = asked.join(mates, "mate_at").select("at", F.struct(
+            F.levenshtein("path", "mate_path").alias("far"), "mate_at", F.col("mate_hashes").alias("hashes"), F.col("mate_chars").alias("chars")).alias("mate"))
+        nearest = near.groupBy("at").agg(F.array_sort(F.collect_list("mate")).alias("mates"))  # two at most
+        return materialise(with_python(todo.join(nearest, "at"), compare, "gone array<int>", drop=("mates",)), name)
+
+    first = tried(ranked.join(hosts, "host").where("low < high"), F.col("at") - 1, F.col("at") + 1, "page-mates")
+    # Pages left stand in runs; the page beside a run is a near copy of its end and
+    # has a different page on its other side.
+    left = in_ranges(first.where("gone is null").select("at", "host"), ["at"], "page-left")
+    runs = materialise(with_before(left, ["at"], {"before": F.lit(1).cast("long")}).withColumn("run", F.col("at") - F.col("before")), "page-runs")
+    ends = runs.groupBy("host", "run").agg(F.min("at").alias("start"), F.max("at").alias("end"))
+    again = first.where("gone is null").drop("gone").join(runs.join(ends, ["host", "run"]).select("at", "start", "end"), "at")
+    second = tried(again, F.col("start") - 2, F.col("end") + 2, "page-far-mates")
+    return first.unionByName(second, allowMissingColumns=True).where("gone is not null").select("host", "digest", "gone")
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``df``: id, url, text, n_chars.
 
     Null html and pages without text give an empty text.  A page whose url is
-    null or has no host, or that is alone in its host, has no mate and keeps all
-    its lines.  A mate with the same lines throughout is a copy and removes
-    nothing.  Repeated rows are pages of their own, ordered by where they were
-    read.  Other columns are ignored.
+    null or has no host, or whose host holds nothing but copies and near copies
+    of it, has no mate and keeps all its lines.  Copies in a host share a mate,
+    that of the least path among them.  Repeated rows are pages of their own.
+    Other columns are ignored.
     """
+    def outline(b: pa.RecordBatch) -> dict[str, list]:
+        pages = [page_lines(h) for h in b.column("html").to_pylist()]
+        hashes = [*map(_hashes, pages)]
+        return {"digest": [*map(_digest, hashes)], "hashes": hashes, "chars": [[len(t) for t, _ in page] for page in pages]}
+
     def parse(b: pa.RecordBatch) -> dict[str, list]:
         pages = [page_lines(h) for h in b.column("html").to_pylist()]
-        return {"marked": [any(p > ELSEWHERE for _, p in page) for page in pages],
-                "lines": [[{"text": t, "place": p} for t, p in page] for page in pages],
-                "hashes": [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in page] for page in pages]}
+        return {"digest": [_digest(_hashes(page)) for page in pages], "lines": [[{"text": t, "place": p} for t, p in page] for page in pages]}
 
     def difference(b: pa.RecordBatch) -> dict[str, list]:
-        return {"text": [main_text(x, h, m if m != h else None) for x, h, m in zip(
-            *(b.column(c).to_pylist() for c in ("lines", "hashes", "mate_hashes")))]}
-
-    raw = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    pages = materialise(
-        with_python(raw, parse, "marked boolean, lines array<struct<text: string, place: int>>, hashes array<long>", drop=("html",))
-        .withColumn("row", F.monotonically_increasing_id()), "page-lines")
-    order = ["host", "path", "id", "row"]
-    placed = with_neighbours(
-        in_ranges(pages.select(url_host("url").alias("host"), url_path("url").alias("path"), "id", "row"), order, "page-order"), order)
-
-    def distance(side: str) -> Column:
-        return F.when((F.col(f"{side}.host") == F.col("host")) & (F.col("host") != ""),
-                      F.levenshtein(F.substring("path", 1, 200), F.substring(f"{side}.path", 1, 200)))
-
-    before, after = distance("previous"), distance("next")
-    mates = placed.select("row", F.when(before.isNotNull() & (after.isNull() | (before <= after)), F.col("previous.row"))
-                          .when(after.isNotNull(), F.col("next.row")).alias("mate")).where("mate is not null")
-    hashes = pages.select(F.col("row").alias("mate"), F.col("hashes").alias("mate_hashes"))
-    # Pages that mark their text need no mate, so they are not shuffled; any page
-    # can be the mate of one that does.
-    columns = ["id", "url", "lines", "hashes"]
-    paired = pages.where("not marked").join(mates.join(hashes, "mate").select("row", "mate_hashes"), "row", "left")
-    alone = pages.where("marked").select(*columns, F.lit(None).cast("array<long>").alias("mate_hashes"))
-    texts = with_python(paired.select(*columns, "mate_hashes").unionByName(alone), difference, "text string",
-                        drop=("lines", "hashes", "mate_hashes"))
+        return {"text": [main_text(x, g) for x, g in zip(*(b.column(c).to_pylist() for c in ("lines", "gone")))]}
+
+    raw = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
+                    F.coalesce(url_host(url_col), F.lit("")).alias("host"))
+    outlined = with_python(raw.select("host", F.coalesce(url_path(url_col), F.lit("")).alias("path"), "html"), outline,
+                           "digest binary, hashes array<long>, chars array<int>", drop=("html",))
+    pages = with_python(raw, parse, "digest binary, lines array<struct<text: string, place: int>>", drop=("html",))
+    paired = pages.join(shared_lines(outlined), ["host", "digest"], "left").drop("host", "digest")
+    texts = with_python(paired, difference, "text string", drop=("lines", "gone"))
     return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                         F.char_length("text").cast("long").alias("n_chars"))

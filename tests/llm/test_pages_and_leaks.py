@@ -49,6 +49,24 @@ def test_differencing_of_unmarked_pages(spark):
     assert got[4] == "Top line\nShop\nalone\nBottom line" and got[5] == got[6] == "Top line\nShop\ncopy\nBottom line"
 
 
+def test_structure_is_evidence_only(spark):
+    story = "".join(f"<p>Story sentence {{0}} {i} with many plain words in it.</p>" for i in range(6))
+
+    def page(body, n):
+        return f"<body><div>Top line</div>{body.format(n)}<div>Bottom line</div></body>"
+
+    told = lambda n: "\n".join(f"Story sentence {n} {i} with many plain words in it." for i in range(6))
+    cards = "<article>Teaser A</article><article>Teaser B</article><div>" + story + "</div>"
+    around = "<main><h1>Title {0}</h1><article>" + story + "</article><p>Closing words {0}</p></main>"
+    wrapped = '<div class="sidebar layout"><form>' + story + "</form></div>"
+    wrapped_article = '<div class="header fixed"><article>' + story + "</article></div>"
+    rows = [(10 * k + n, f"http://h{k}/{n}", page(body, n)) for k, body in enumerate((cards, around, wrapped, wrapped_article)) for n in (1, 2)]
+    got = dict(texts(spark, rows))
+    for n in (1, 2):
+        assert got[n] == told(n) and got[10 + n] == f"Title {n}\n{told(n)}\nClosing words {n}"
+        assert got[20 + n] == told(n) and got[30 + n] == told(n)
+
+
 def test_common_lines_are_longest():
     rng = random.Random(0)
     for _ in range(400):
