@@ -67,6 +67,24 @@ def test_structure_is_evidence_only(spark):
         assert got[20 + n] == told(n) and got[30 + n] == told(n)
 
 
+def test_mates_are_different_pages(spark):
+    """Copies and near copies are passed over, and whole paths are compared."""
+    def page(*lines):
+        return "<body><div>Top line</div>" + "".join(f"<p>{x}</p>" for x in lines) + "<div>Bottom line</div></body>"
+
+    same = [f"The copied article says {i} and more of it" for i in range(8)]
+    near = [[*same[:3], f"changed {n}", *same[4:]] for n in range(40)]
+    rows = [(100 + i, f"http://a/n/{i:03d}", page(*(near[i] if i >= 20 else same))) for i in range(40)]
+    rows += [(50, "http://a/z", page("Another page with its own words"))]
+    long = "/" + "d" * 250
+    rows += [(60, f"http://b{long}/aa/x1", page("alpha", "only with beta")), (61, f"http://b{long}/aa/x2", page("beta", "only with beta")),
+             (62, f"http://b{long}/zz/long/other", page("gamma"))]
+    got = dict(texts(spark, rows))
+    assert all(got[100 + i] == "\n".join(near[i] if i >= 20 else same) for i in range(40))
+    assert got[50] == "Another page with its own words"
+    assert (got[60], got[61], got[62]) == ("alpha", "beta", "gamma")
+
+
 def test_common_lines_are_longest():
     rng = random.Random(0)
     for _ in range(400):
