@@ -197,11 +197,13 @@ def train(stage: DataFrame, labels: DataFrame, rounds: int = 3, per_round: int =
           max_labels: int = 8_000) -> Judge:
     """Co-trains on ``stage`` (from ``features``) and labels (id, good 0/1).
 
-    The labelled rows used are the ``max_labels`` of least hash, a bounded sample;
+    The labelled rows used are the ``max_labels`` of least hash among the labels
+    of documents in the stage, a bounded sample;
     a fifth of them, by hash, is kept for calibration.  Pseudo-labels come from
     all documents of the stage.
     """
     named = (labels.where("id is not null and good is not null").groupBy("id").agg((F.avg("good") >= 0.5).cast("int").alias("good"))
+             .join(stage.select("id").distinct(), "id", "left_semi")
              .withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(max_labels))
     sample = materialise(named, "cotrain-labels")
     rows = (stage.join(F.broadcast(sample), "id")  # at most max_labels rows

@@ -76,6 +76,13 @@ def test_views_teach_each_other(spark, docs):
     assert np.allclose(taught.views[0].weights, again.views[0].weights)
 
 
+def test_labels_of_other_documents_use_up_nothing(spark, docs):
+    rows = [(i, ("fine words here " if i % 2 else "$$$ ### %%% ") * (5 + i % 7), "en", f"s{i % 3}") for i in range(100)]
+    stage = cotraining.features(docs(rows), "doc_id", "text", "lang", "source")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(i, 1) for i in range(1_000, 9_000)], "id long, good int")
+    assert cotraining.train(stage, labels, rounds=0, max_labels=60).views is not None
+
+
 def test_quality_without_labels(spark, docs):
     rows = [(1, "a b c"), (2, None), (3, ""), (None, "x" * 300_000), (1, "a b c", None, None)]
     df = docs(rows, extra=True)
