@@ -18,9 +18,11 @@ to read any record alone, in any order.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -34,7 +36,19 @@ from stockloom.session import stage_path
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<?qB")
 MASK_DELTA = 0xA282EAD8
-_CACHE = 600_000
+#: Bytes of encoded units that a worker keeps, with about what an entry takes besides
+#: its characters; longer units are encoded each time.
+CACHE_BYTES, ENTRY_BYTES, UNIT_CHARS = 96 << 20, 150, 64
+#: Marks that end a word and are a piece of their own there.
+MARKS = ".,;:!?)"
+#: White space by anyone's definition; a space beside it is no safe place to cut.
+BLANKS = "".join(c for c in map(chr, range(0x10000)) if c.isspace()) + "\u180e"
+_SAFE = re.compile(f"(?<![{BLANKS}]) (?![{BLANKS}])")
+
+
+def crowded(text: str) -> bool:
+    """Whether a space stands beside another white space character."""
+    return any(c in text and (c + " " in text or " " + c in text) for c in BLANKS)
 
 
 def masked_crc(data: bytes) -> int:
@@ -67,10 +81,10 @@ class Encoder:
     """Encodes whole texts with a byte-level BPE file of the tokenizers library.
 
     Such a tokenizer cuts a text by ``pattern`` and encodes each piece by
-    itself.  A single space between two other characters always begins a piece,
-    so texts are split there, and units and pieces met before come from bounded
-    tables; only new pieces go to the library.  Texts in which white space
-    characters stand side by side are cut by the pattern as a whole.
+    itself.  A single space between two characters that aren't white space always
+    begins a piece, so texts are cut there, and units met before come from a
+    table bounded in bytes.  A new unit that is a word, or a word and a
+    mark at its end, needs no pattern: these are its pieces.
 
     With ``added`` a string of an added token in a text is that token, as the
     library has it by default: texts that hold such a string go to the library
@@ -87,19 +101,54 @@ class Encoder:
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.pieces_of = regex.compile(pattern).findall
-        self.crowded = regex.compile(r"\s\s").search
+        self.marks = self._ids(list(MARKS))
+        #: Ids of units that follow a space.
         self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.held = self.missed = 0
+
+    def _ids(self, pieces: list[str], before: str = "") -> dict[str, bytes]:
+        if not pieces:
+            return {}
+        made = self.model.encode([before + p for p in pieces], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(made.ids, f"<u{self.width}").tobytes()
+        ends = (self.width * np.searchsorted(made.word_ids, np.arange(len(pieces)), "right")).tolist()
+        return {p: ids[a:b] for p, a, b in zip(pieces, [0, *ends], ends)}
+
+    def _cut(self, units: list[str]) -> list[bytes]:
+        """Ids of units that the pattern has to cut."""
+        cut = [self.pieces_of(u) for u in units]
+        ids = self._ids(list({p for ps in cut for p in ps}))
+        return [b"".join([ids[p] for p in ps]) for ps in cut]
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
-        cut = {u: self.pieces_of(u) for u in units}
-        known = self.pieces
-        new = list({p for ps in cut.values() for p in ps if p not in known})
-        got = {p: np.array(e.ids, f"<u{self.width}").tobytes()
-               for p, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False))}
-        if len(known) < _CACHE:
-            known.update(got)
-        return {u: b"".join([known.get(p) or got[p] for p in ps]) for u, ps in cut.items()}
+        """Ids of units that follow a space."""
+        known, words, marked, other = self.units, set(), [], []
+        for u in units:
+            if u.isalpha():
+                words.add(u)
+            elif u[-1:] in self.marks and u[:-1].isalpha():
+                marked.append(u)
+                if u[:-1] not in known:
+                    words.add(u[:-1])
+            else:
+                other.append(u)
+        new = self._ids(list(words), " ")
+        new.update(zip(other, self._cut([" " + u for u in other])))
+        for u in marked:
+            new[u] = (new.get(u[:-1]) or known[u[:-1]]) + self.marks[u[-1]]
+        self._keep(new)
+        return new
+
+    def _keep(self, new: dict[str, bytes]) -> None:
+        if self.held < CACHE_BYTES:
+            kept = {u: ids for u, ids in new.items() if len(u) <= UNIT_CHARS}
+            self.units.update(kept)
+            self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+            return
+        self.missed += len(new)
+        if self.missed > 8 * len(self.units):  # the texts have become others
+            self.units.clear()
+            self.held = self.missed = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         holding = {i for i, t in enumerate(texts) if any(c in t for c in self.added)}
@@ -108,25 +157,16 @@ class Encoder:
                 for i, t in enumerate(texts)]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [self.pieces_of(t) if self.crowded(t) else self._units(t) for t in texts]
+        cuts = [_SAFE.split(t) if crowded(t) else t.split(" ") for t in texts]
+        heads = self._cut([us[0] for us in cuts])  # a first unit follows no space
+        here = dict.fromkeys(chain.from_iterable(islice(us, 1, None) for us in cuts))
         get = self.units.get
-        found = [list(map(get, us)) for us in cuts]
-        missing = {u for us, ids in zip(cuts, found) if None in ids for u, i in zip(us, ids) if i is None}
+        here = dict(zip(here, map(get, here)))
+        missing = [u for u, ids in here.items() if ids is None]
         if missing:
-            new = self._learn(list(missing))
-            if len(self.units) < _CACHE:
-                self.units.update(new)
-            for us, ids in zip(cuts, found):
-                if None in ids:
-                    ids[:] = [new[u] if i is None else i for u, i in zip(us, ids)]
-        return [np.frombuffer(b"".join(ids), f"<u{self.width}") for ids in found]
-
-    @staticmethod
-    def _units(text: str) -> list[str]:
-        if not text:
-            return []
-        first, *rest = text.split(" ")
-        return [*([first] if first else []), *[" " + r for r in rest]]
+            here.update(self._learn(missing))
+        ids_of = here.__getitem__
+        return [np.frombuffer(b"".join([h, *map(ids_of, islice(us, 1, None))]), f"<u{self.width}") for h, us in zip(heads, cuts)]
 
 
 _encoders: dict[tuple[str, str, bool], Encoder] = {}
@@ -145,7 +185,7 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     """Writes every row's token ids, ended by ``end_id``, in ascending id order.
 
     A null text is empty; null ids come first; rows of one id follow each other
-    by the first 1,024 characters of their texts, then by the texts' hashes,
+    by the first 16 characters of their texts, then by the texts' hashes,
     repeated rows included, over as many files as they need.  Files are as many
     as keep ``file_bytes`` of text in each on average.  Other columns are not
     written.  ``df`` must be read from files, so that a task that is run again
@@ -166,9 +206,9 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # An id may hold any share of the rows, so ranges go on through the text and,
-    # for equal rows, a running number.  Range bounds must stay short: the text
-    # is compared by its start, then by its hash.
-    order = [F.col("no_id").desc(), F.col("id"), F.substring("text", 1, 1024), F.xxhash64("text"), F.col("copy")]
+    # for equal rows, a running number.  The bounds, which Spark samples on the
+    # driver, are kept to a few bytes each: a short beginning, then the hash.
+    order = [F.col("no_id").desc(), F.col("id"), F.substring("text", 1, 16), F.xxhash64("text"), F.col("copy")]
     total = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     tasks = max(tasks_of(rows), -(-total // file_bytes))
     numbered = rows.withColumn("copy", F.monotonically_increasing_id())
