@@ -260,7 +260,7 @@ SELECTION_CTES = (
 
 def _past(n: int, suffix: str, deviations: bool) -> str:
     columns = ", ".join(
-        f"AVG(mape{i}) AS avg{i}{suffix}"
+        f"CAST(SUM(CAST(mape{i} AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(mape{i}) AS avg{i}{suffix}"
         + (f", STDDEV_SAMP(mape{i}) AS sd{i}{suffix}" if deviations else "")
         for i in (1, 2, 3)
     )

@@ -137,7 +137,7 @@ def _hist(i: Inputs):
 
 
 def _best(i: Inputs):
-    return bk.best_split(bk.cluster_sse(_hist(i)), AS_OF)
+    return bk.name_groups(bk.winning_split(_hist(i)), AS_OF)
 
 
 def _chosen(i: Inputs):

@@ -17,6 +17,7 @@ from stockloom.operators.aggregates import with_total
 from stockloom.operators.filters import normal_sales
 from stockloom.calendar import in_calendar
 from stockloom.operators.joins import cross_grid, date_array
+from stockloom.plans.basket_split import GROUPS, STATS, split_batches
 from stockloom.plans.inventory import latest_items, order_up_to_level, snapshot
 from stockloom.sources.readers import explode_lines
 
@@ -103,98 +104,38 @@ def split_space(hist: DataFrame) -> DataFrame:
     )
 
 
-# Running sums of counts and squares, exact up to 38 digits.
-WHOLE = "decimal(38,0)"
-
-
-def _group(upto: Column, first: Column, last: Column) -> dict[str, Column]:
-    """Count, mean, error sum and deviation of ranks first..last.
-
-    ``upto`` holds running sums by rank, so each group costs constant time.
-    Counts and quantities are whole numbers, and so are their sums; the
-    difference that gives the error is taken before anything is rounded.
-    """
-    def total(name: str) -> Column:
-        def at(rank: Column) -> Column:
-            return F.coalesce(F.get(upto, (rank - 1).cast("int"))[name], F.lit(0).cast(WHOLE))
-
-        below = F.when(first > 1, at(first - 1)).otherwise(F.lit(0).cast(WHOLE))
-        return at(last) - below
-
-    filled = last >= first
-    n, s, q = total("n"), total("s"), total("q")
-    count = n.cast("double")
-    sse = F.try_divide((n * q - s * s).cast("double"), count)
-    return {
-        "cnt": F.when(filled, n.cast("long")),
-        "mean": F.when(filled, F.try_divide(s.cast("double"), count)),
-        "sse": F.when(filled, sse).otherwise(F.lit(0.0)),
-        "stddev": F.when(filled, F.sqrt(F.try_divide(sse, count))),
-    }
-
-
-def _split_sse(upto: Column, n: Column, k2: Column, k3: Column) -> Column:
-    groups = (
-        _group(upto, F.lit(1), F.least(k2 - 1, n)),
-        _group(upto, k2, F.least(k3 - 1, n)),
-        _group(upto, k3, n),
-    )
-    return groups[0]["sse"] + groups[1]["sse"] + groups[2]["sse"]
+def _splits(hist: DataFrame, only_best: bool) -> DataFrame:
+    """Splits of each pair's quantities, searched inside one row per pair."""
+    entry = F.struct("pkey", F.coalesce("item_qty", F.lit(0)).cast("long").alias("q"), F.col("trans_cnt").cast("long").alias("c"))
+    nested = hist.groupBy(*PAIR, "max_pkey").agg(F.array_sort(F.collect_list(entry)).alias("h")).select(
+        *PAIR, "max_pkey", F.col("h.q").alias("quantities"), F.col("h.c").alias("counts"))
+    keys = [*PAIR, "max_pkey"]
+    schema = ", ".join(f"{c} {hist.schema[c].dataType.simpleString()}" for c in keys)
+    found = nested.mapInArrow(split_batches(keys, only_best), f"{schema}, {STATS}")
+    return found.withColumn("sse", F.round("sse", 6))
 
 
 def cluster_sse(hist: DataFrame) -> DataFrame:
     """For every start of the second group the best start of the third.
 
-    Columns: the pair, max_pkey, upto (running sums), k2_start, k3_start, sse
-    (6 decimals).  Linear output per pair: the quadratic number of splits is
-    compared inside one row and never emitted.  Equal sums of errors are
-    decided by the smaller k3_start.
+    Columns: the pair, max_pkey, k2_start, k3_start, sse (6 decimals), and mean,
+    stddev and cnt of the groups k1, k2 and k3 (NULL if empty).  One row per
+    start, found in n log n steps.  Equal sums of errors are decided by the
+    smaller k3_start.
     """
-    in_order = Window.partitionBy(*PAIR).orderBy("pkey").rowsBetween(Window.unboundedPreceding, 0)
-    n, x = F.col("trans_cnt").cast(WHOLE), F.col("item_qty").cast(WHOLE)
-    running = hist.select(
-        *PAIR,
-        "max_pkey",
-        "pkey",
-        F.sum(n).over(in_order).alias("n"),
-        F.sum(n * x).over(in_order).alias("s"),
-        F.sum(n * x * x).over(in_order).alias("q"),
-    )
-    nested = running.groupBy(*PAIR, "max_pkey").agg(
-        F.array_sort(F.collect_list(F.struct("pkey", "n", "s", "q"))).alias("upto")
-    )
-    upto, last = F.col("upto"), F.col("max_pkey").cast("int")
-
-    def split(k2: Column, k3: Column) -> Column:
-        sse = F.round(_split_sse(upto, last, k2, k3), 6)
-        return F.struct(sse.alias("sse"), k2.alias("k2_start"), k3.alias("k3_start"))
+    return _splits(hist, only_best=False)
 
-    def best_third(k2: Column) -> Column:
-        return F.array_min(F.transform(F.sequence(k2 + 1, last), lambda k3: split(k2, k3)))
 
-    few = F.array(split(F.lit(2), F.lit(3)))
-    many = F.transform(F.sequence(F.lit(2), F.greatest(last - 1, F.lit(2))), best_third)
-    return nested.select(
-        *PAIR, "max_pkey", "upto", F.explode(F.when(last < 3, few).otherwise(many)).alias("b")
-    ).select(*PAIR, "max_pkey", "upto", "b.k2_start", "b.k3_start", "b.sse")
+def winning_split(hist: DataFrame) -> DataFrame:
+    """As :func:`cluster_sse`, but only the pair's best split leaves its row."""
+    return _splits(hist, only_best=True)
 
 
 def cluster_means(splits: DataFrame) -> DataFrame:
     """Mean, deviation and count of the three groups of each given split."""
-    upto, n = F.col("upto"), F.col("max_pkey").cast("int")
-    k2, k3 = F.col("k2_start"), F.col("k3_start")
-    groups = {
-        "k1": _group(upto, F.lit(1), F.least(k2 - 1, n)),
-        "k2": _group(upto, k2, F.least(k3 - 1, n)),
-        "k3": _group(upto, k3, n),
-    }
     return splits.select(
         *PAIR, "max_pkey", "k2_start", "k3_start", "sse",
-        *[
-            stats[name].alias(f"{group}_{name}")
-            for group, stats in groups.items()
-            for name in ("mean", "stddev", "cnt")
-        ],
+        *[f"{group}_{name}" for group in GROUPS for name in ("mean", "stddev", "cnt")],
     )
 
 
@@ -204,12 +145,13 @@ def best_split(splits: DataFrame, as_of: dt.date) -> DataFrame:
     ``splits`` comes from :func:`cluster_sse`.  Columns: top_, mid_ and bot_
     jlq (mean), stddev and freq (baskets).
     """
-    best = splits.groupBy(*PAIR, "max_pkey").agg(
-        F.min(F.struct("sse", "k2_start", "k3_start")).alias("b"), F.first("upto").alias("upto")
-    )
-    chosen = cluster_means(
-        best.select(*PAIR, "max_pkey", "upto", "b.k2_start", "b.k3_start", "b.sse")
-    )
+    others = [c for c in splits.columns if c not in PAIR and c not in ("sse", "k2_start", "k3_start")]
+    best = splits.groupBy(*PAIR).agg(F.min(F.struct("sse", "k2_start", "k3_start", *others)).alias("b"))
+    return name_groups(best.select(*PAIR, "b.*"), as_of)
+
+
+def name_groups(chosen: DataFrame, as_of: dt.date) -> DataFrame:
+    """Groups of one split per pair by their names, with the date."""
     names = {"k1": "top", "k2": "mid", "k3": "bot"}
     return chosen.select(
         *PAIR,
@@ -463,7 +405,7 @@ def basket_minimums(
     """The whole calculation, from transactions to minimums."""
     lines = basket_lines(trans, calendar, active_items(items, inv, prefs, as_of), as_of)
     hist = qty_histogram(demand_cap(lines, demand))
-    best = best_split(cluster_sse(hist), as_of)
+    best = name_groups(winning_split(hist), as_of)
     chosen = choose_cluster(best, inv, prefs, as_of)
     return safety_multiple(seasonal_frequency(chosen, factors, inv, calendar, as_of), lookup)
 
@@ -471,6 +413,6 @@ def basket_minimums(
 __all__ = [
     "active_items", "basket_lines", "basket_minimums", "best_split", "choose_cluster",
     "cluster_means", "cluster_sse", "default_multiples", "demand_cap", "impact_detail",
-    "impact_report", "lead_review_demand", "parm_upload", "qty_histogram",
-    "safety_multiple", "seasonal_frequency", "split_space", "stamp_weeks",
+    "impact_report", "lead_review_demand", "name_groups", "parm_upload", "qty_histogram",
+    "safety_multiple", "seasonal_frequency", "split_space", "stamp_weeks", "winning_split",
 ]

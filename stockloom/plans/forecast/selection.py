@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from stockloom.calendar import period_dates
 from stockloom.functions import (
@@ -60,6 +60,28 @@ def selection_base(
     )
 
 
+# Running sums are decimal, so that a difference of two is exact.
+ERROR_TYPE, SQUARE_TYPE = "decimal(38,12)", "decimal(38,15)"
+
+
+def _running_sums(frame: WindowSpec) -> dict[str, Column]:
+    """Rows, and count, sum and sum of squares of the three errors, in a frame
+    that grows with the row: each costs one addition per row."""
+    out = {"rows": F.count(F.lit(1)).over(frame)}
+    for i in (1, 2, 3):
+        error = F.col(f"mape{i}")
+        out[f"n{i}"] = F.count(error).over(frame)
+        out[f"s{i}"] = F.try_sum(error.try_cast(ERROR_TYPE)).over(frame)
+        out[f"q{i}"] = F.try_sum((error * error).try_cast(SQUARE_TYPE)).over(frame)
+    return out
+
+
+def _window_sum(name: str, n: int) -> Column:
+    """What the ``n`` periods before a row add to a running sum."""
+    upto, before = F.col(f"_{name}_1"), F.col(f"_{name}_{n + 1}")
+    return upto - F.coalesce(before, F.lit(0).cast("long" if name[0] in "rn" else ERROR_TYPE if name[0] == "s" else SQUARE_TYPE))
+
+
 def rolling_error_stats(
     selection: DataFrame, spec: SeriesSpec, period_end: dt.date | None = None,
     windows: tuple[int, int, int] = ERROR_WINDOWS,
@@ -70,13 +92,13 @@ def rolling_error_stats(
     needs an earlier row within the short window; the overall first period is
     kept with unknown errors.  All windows share one partitioning by key, in
     which a key has one row per period.
+
+    Sums run once through each key's periods and are exact; a window is the
+    difference of two of them, however long it is.  Errors count to 12 decimals.
+    Squares beyond 10^23 leave the deviation unknown.
     """
     medium, short, long = windows
     by_key = Window.partitionBy("agg_level").orderBy("_period")
-
-    def past(n: int):
-        return by_key.rangeBetween(-n, -1)
-
     periods = date_array(selection, "fcst")
     stats = selection.withColumns(
         {
@@ -86,13 +108,22 @@ def rolling_error_stats(
     )
     if period_end is not None:
         stats = stats.withColumn("_late", F.col("fcst") > F.lit(period_end))
-    added = {"_seen": F.count(F.lit(1)).over(past(min(windows)))}
+    # Everything up to one period ago, and up to where each window begins.
+    starts = {1, min(windows) + 1, *(n + 1 for n in windows)}
+    stats = stats.withColumns({
+        f"_{name}_{k}": total
+        for k in sorted(starts)
+        for name, total in _running_sums(by_key.rangeBetween(Window.unboundedPreceding, -k)).items()
+    })
+    added = {"_seen": _window_sum("rows", min(windows))}
     for i in (1, 2, 3):
-        added[f"_avg{i}"] = F.avg(f"mape{i}").over(past(medium))
-        added[f"_avg{i}_short"] = F.avg(f"mape{i}").over(past(short))
-        added[f"_avg{i}_long"] = F.avg(f"mape{i}").over(past(long))
-        added[f"_sd{i}"] = F.stddev(f"mape{i}").over(past(medium))
-        added[f"_sd{i}_long"] = F.stddev(f"mape{i}").over(past(long))
+        for suffix, n in (("", medium), ("_short", short), ("_long", long)):
+            count, total = _window_sum(f"n{i}", n), _window_sum(f"s{i}", n).cast("double")
+            added[f"_avg{i}{suffix}"] = F.try_divide(total, count)
+            if suffix != "_short":
+                square = _window_sum(f"q{i}", n).cast("double")
+                spread = F.try_divide(square - F.try_divide(total * total, count), count - 1)
+                added[f"_sd{i}{suffix}"] = F.when(count > 1, F.sqrt(F.greatest(spread, F.lit(0.0))))
     stats = stats.withColumns(added).filter((F.col("_seen") > 0) | (F.col("time_rank") == 1))
     if period_end is not None:
         stats = stats.filter(~F.col("_late") | (F.col("time_rank") == 1))

@@ -277,6 +277,63 @@ def test_split_errors_of_large_numbers_are_exact(spark):
         assert got[k2] == (want[1], pytest.approx(want[0], rel=1e-12))
 
 
+@pytest.mark.parametrize("spread", [3, 40, 10_000])
+def test_thirds_match_all_candidates(spread):
+    """Every start of the second group, against all starts of the third in whole numbers."""
+    from fractions import Fraction
+
+    from stockloom.plans.basket_split import SAME, Histograms, best_thirds
+
+    rng = random.Random(spread)
+    sizes = [1, 2, 3, 4, 7, 30, 61]
+    data = [(np.array(sorted(rng.sample(range(spread * 70), n), reverse=True)), np.array([rng.randrange(1, spread + 1) for _ in range(n)])) for n in sizes]
+    data.append((np.array([10 ** 9 - i for i in range(40)]), np.array([10 ** 8 + rng.randrange(9) for _ in range(40)])))
+
+    def sse(x, c):
+        x, c = [int(v) for v in x], [int(v) for v in c]
+        return sum(n * v * v for v, n in zip(x, c)) - Fraction(sum(n * v for v, n in zip(x, c)) ** 2, sum(c)) if c else 0
+
+    pair, k2, k3 = best_thirds(Histograms([x for x, _ in data], [c for _, c in data]))
+    got = {(p, a): b for p, a, b in zip(pair.tolist(), k2.tolist(), k3.tolist())}
+    want = {}
+    for p, (x, c) in enumerate(data):
+        n = len(x)
+        if n < 3:
+            want[p, 2] = 3
+        for a in range(2, n):
+            sums = {b: sse(x[a - 1:b - 1], c[a - 1:b - 1]) + sse(x[b - 1:], c[b - 1:]) for b in range(a + 1, n + 1)}
+            # Sums that a double can't tell apart are equal.
+            want[p, a] = min(b for b, v in sums.items() if v <= min(sums.values()) * (1 + Fraction(SAME)))
+    assert got == want
+
+
+def test_split_of_a_pair_with_many_quantities(spark):
+    """5,000 distinct quantities: a linear number of rows, the least error of all 12 million splits."""
+    n = 5_000
+    rng = np.random.default_rng(6)
+    x = np.sort(rng.choice(200_000, n, replace=False))[::-1].astype(np.int64)
+    c = rng.integers(1, 50, n)
+    rows = [(1, 1, SUNDAY, n, k + 1, int(q), int(m)) for k, (q, m) in enumerate(zip(x, c))]
+    hist = spark.createDataFrame(rows, "store int, sku int, sku_crt_dt date, max_pkey long, pkey int, item_qty long, trans_cnt long")
+    N, S, Q = (np.concatenate([[0], np.cumsum(v)]).astype(float) for v in (c, c * (x - 100_000), c * (x - 100_000) ** 2))
+
+    def sse(a, b):
+        """Of ranks a..b, counted from 1."""
+        return Q[b] - Q[a - 1] - (S[b] - S[a - 1]) ** 2 / (N[b] - N[a - 1])
+
+    third = np.arange(3, n + 1)
+    best = [(sse(1, k2 - 1) + (at := sse(k2, third[k2 - 2:] - 1) + sse(third[k2 - 2:], n)).min(), k2, k2 + 1 + int(at.argmin())) for k2 in range(2, n)]
+    splits = bk.cluster_sse(hist)
+    got = {r.k2_start: (r.k3_start, r.sse) for r in splits.collect()}
+    assert len(got) == n - 2
+    assert all(got[k2][0] == k3 and got[k2][1] == pytest.approx(total, rel=1e-9) for total, k2, k3 in best)
+    one = bk.winning_split(hist).collect()
+    assert [(r.k2_start, r.k3_start) for r in one] == [min(best)[1:]]
+    assert one[0].k1_cnt + one[0].k2_cnt + one[0].k3_cnt == c.sum()
+    named = bk.best_split(splits, SUNDAY).first()
+    assert named == bk.name_groups(bk.winning_split(hist), SUNDAY).first()
+
+
 # --- bulk --------------------------------------------------------------------
 
 
