@@ -260,8 +260,8 @@ SELECTION_CTES = (
 
 def _past(n: int, suffix: str, deviations: bool) -> str:
     columns = ", ".join(
-        f"CAST(SUM(CAST(mape{i} AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(mape{i}) AS avg{i}{suffix}"
-        + (f", STDDEV_SAMP(mape{i}) AS sd{i}{suffix}" if deviations else "")
+        f"CAST(SUM(CAST(ROUND(mape{i} * 1e9) AS HUGEINT)) AS DOUBLE) / COUNT(mape{i}) / 1e9 AS avg{i}{suffix}"
+        + (f", STDDEV_SAMP(ROUND(mape{i} * 1e9) / 1e9) AS sd{i}{suffix}" if deviations else "")
         for i in (1, 2, 3)
     )
     empty = ", ".join("NULL" for _ in range(6 if deviations else 3))

@@ -60,8 +60,9 @@ def selection_base(
     )
 
 
-# Running sums are decimal, so that a difference of two is exact.
-ERROR_TYPE, SQUARE_TYPE = "decimal(38,12)", "decimal(38,15)"
+# Errors are summed in whole units of this size, so that a difference of two
+# running sums is exact.
+ERROR_UNITS, WHOLE = 1e9, "decimal(38,0)"
 
 
 def _running_sums(frame: WindowSpec) -> dict[str, Column]:
@@ -69,17 +70,17 @@ def _running_sums(frame: WindowSpec) -> dict[str, Column]:
     that grows with the row: each costs one addition per row."""
     out = {"rows": F.count(F.lit(1)).over(frame)}
     for i in (1, 2, 3):
-        error = F.col(f"mape{i}")
-        out[f"n{i}"] = F.count(error).over(frame)
-        out[f"s{i}"] = F.try_sum(error.try_cast(ERROR_TYPE)).over(frame)
-        out[f"q{i}"] = F.try_sum((error * error).try_cast(SQUARE_TYPE)).over(frame)
+        units = F.round(F.col(f"mape{i}") * ERROR_UNITS).try_cast(WHOLE)
+        out[f"n{i}"] = F.count(units).over(frame)
+        out[f"s{i}"] = F.try_sum(units).over(frame)
+        out[f"q{i}"] = F.try_sum(F.try_multiply(units, units)).over(frame)
     return out
 
 
 def _window_sum(name: str, n: int) -> Column:
     """What the ``n`` periods before a row add to a running sum."""
     upto, before = F.col(f"_{name}_1"), F.col(f"_{name}_{n + 1}")
-    return upto - F.coalesce(before, F.lit(0).cast("long" if name[0] in "rn" else ERROR_TYPE if name[0] == "s" else SQUARE_TYPE))
+    return upto - F.coalesce(before, F.lit(0).cast("long" if name[0] in "rn" else WHOLE))
 
 
 def rolling_error_stats(
@@ -94,8 +95,8 @@ def rolling_error_stats(
     which a key has one row per period.
 
     Sums run once through each key's periods and are exact; a window is the
-    difference of two of them, however long it is.  Errors count to 12 decimals.
-    Squares beyond 10^23 leave the deviation unknown.
+    difference of two of them, however long it is.  Errors count to 9 decimals;
+    a deviation whose sums exceed 38 digits is unknown.
     """
     medium, short, long = windows
     by_key = Window.partitionBy("agg_level").orderBy("_period")
@@ -118,12 +119,12 @@ def rolling_error_stats(
     added = {"_seen": _window_sum("rows", min(windows))}
     for i in (1, 2, 3):
         for suffix, n in (("", medium), ("_short", short), ("_long", long)):
-            count, total = _window_sum(f"n{i}", n), _window_sum(f"s{i}", n).cast("double")
-            added[f"_avg{i}{suffix}"] = F.try_divide(total, count)
+            count, total = _window_sum(f"n{i}", n), _window_sum(f"s{i}", n)
+            added[f"_avg{i}{suffix}"] = F.try_divide(total.cast("double"), count) / ERROR_UNITS
             if suffix != "_short":
-                square = _window_sum(f"q{i}", n).cast("double")
-                spread = F.try_divide(square - F.try_divide(total * total, count), count - 1)
-                added[f"_sd{i}{suffix}"] = F.when(count > 1, F.sqrt(F.greatest(spread, F.lit(0.0))))
+                squares = F.try_multiply(count.cast(WHOLE), _window_sum(f"q{i}", n))
+                spread = F.try_subtract(squares, F.try_multiply(total, total)).cast("double")
+                added[f"_sd{i}{suffix}"] = F.sqrt(F.try_divide(spread, count * (count - 1))) / ERROR_UNITS
     stats = stats.withColumns(added).filter((F.col("_seen") > 0) | (F.col("time_rank") == 1))
     if period_end is not None:
         stats = stats.filter(~F.col("_late") | (F.col("time_rank") == 1))
