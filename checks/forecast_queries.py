@@ -247,6 +247,82 @@ FACT_COLUMNS = (
     "one_forecast:f, actual:f, "
 )
 
+# Smoothing: one problem per series and stretch, a golden-section search as a
+# recursion over its steps, and the series itself as a fold over time.
+_G = "1.618033988::DOUBLE"
+
+
+def _cost(alpha: str) -> str:
+    """Squared one-step errors of a stretch; ``w`` tells which points count."""
+    return f"""list_reduce(pts, lambda a, b: {{'x': b.x, 'w': b.w,
+        'level': {alpha} * b.x + (1.0::DOUBLE - {alpha}) * a.level,
+        'cost': a.cost + b.w * ((b.x - a.level) * (b.x - a.level))}}).cost"""
+
+
+_ALPHAS = ("alpha", "alpha_h1", "alpha_h2", "alpha_q1", "alpha_q2", "alpha_q3", "alpha_q4")
+SMOOTHING_CTES = (
+    ("deseason", DESEASON_SQL.replace("SELECT s.agg_level,", "SELECT s.next_dt, s.agg_level,", 1)),
+    ("nested", """SELECT *, n - 1 AS last, n // 2 AS h, n // 4 AS q FROM (SELECT agg_level, COUNT(*) AS n,
+        list(dt ORDER BY dt) AS dts, list(deseasonalized_adj_qty ORDER BY dt) AS x,
+        list(st_deseasonalized_adj_qty ORDER BY dt) AS y FROM deseason WHERE fcst_crt_dt_flg GROUP BY 1)"""),
+    ("stretches", """SELECT agg_level, CASE WHEN s.p < 3 THEN x ELSE y END AS v, s.p AS p, s.lo AS lo, s.hi AS hi
+        FROM (SELECT *, unnest([{'p': 0, 'lo': 0, 'hi': last}, {'p': 1, 'lo': 0, 'hi': h}, {'p': 2, 'lo': h + 1, 'hi': last},
+            {'p': 3, 'lo': 0, 'hi': q}, {'p': 4, 'lo': q + 1, 'hi': 2 * q}, {'p': 5, 'lo': 2 * q + 1, 'hi': 3 * q},
+            {'p': 6, 'lo': 3 * q + 1, 'hi': last}]) AS s FROM nested)"""),
+    ("points", """SELECT agg_level, p, list_transform(v, lambda x, i: {'x': x,
+        'w': CASE WHEN i - 1 BETWEEN greatest(lo, 1) AND hi THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END,
+        'level': x, 'cost': 0.0::DOUBLE}) AS pts FROM stretches"""),
+    ("search", f"""SELECT agg_level, p, 0.0::DOUBLE AS l, 1.0::DOUBLE AS r, m, {_cost('m')} AS c
+        FROM (SELECT *, (1.0::DOUBLE + {_G} * 0.0::DOUBLE) / ({_G} + 1.0::DOUBLE) AS m FROM points)
+        UNION ALL
+        SELECT agg_level, p, CASE WHEN (pc < c) = (probe > m) THEN least(m, probe) ELSE l END,
+            CASE WHEN (pc < c) = (probe > m) THEN r ELSE greatest(m, probe) END,
+            CASE WHEN pc < c THEN probe ELSE m END, CASE WHEN pc < c THEN pc ELSE c END
+        FROM (SELECT s.*, {_cost('probe')} AS pc FROM (SELECT *, l + (r - m) AS probe FROM search
+              WHERE r - l >= 0.01::DOUBLE) s JOIN points USING (agg_level, p))"""),
+    ("solved", "SELECT agg_level, p, (l + r) / 2 AS a FROM search WHERE r - l < 0.01::DOUBLE"),
+    ("levelled", """SELECT agg_level, p, a, list_reduce(list_transform(v, lambda x: [x]),
+        lambda u, b: u || [a * b[1] + (1.0::DOUBLE - a) * u[len(u)]]) AS lv FROM stretches JOIN solved USING (agg_level, p)"""),
+    ("spread_out", "SELECT agg_level, " + ", ".join(
+        f"any_value(a) FILTER (WHERE p = {p}) AS {name}, any_value(lv) FILTER (WHERE p = {p}) AS l{p}"
+        for p, name in enumerate(_ALPHAS)) + " FROM levelled GROUP BY 1"),
+    ("fitted", f"""SELECT agg_level, dts[t + 1] AS dt, {', '.join(_ALPHAS)},
+        CASE WHEN t = 0 THEN NULL WHEN t = last THEN l0[t + 1] WHEN t > h THEN l1[t + 1] ELSE l2[t + 1] END
+        AS fcst_deseasonalized_qty,
+        CASE WHEN t = 0 THEN NULL WHEN t > 3 * q AND t < last THEN l5[t + 1] WHEN t > 2 * q AND t <= 3 * q THEN l4[t + 1]
+            WHEN t > q AND t <= 2 * q THEN l3[t + 1] ELSE l6[t + 1] END AS st_fcst_deseasonalized_qty
+        FROM (SELECT *, unnest(range(n)) AS t FROM nested JOIN spread_out USING (agg_level))"""),
+)
+
+
+def outlook_ctes(spec: SeriesSpec) -> tuple[tuple[str, str], ...]:
+    """Forecasts 2 and 3: a level plus the seasons of the dates that follow."""
+    ahead = " UNION ALL ".join(
+        f"""SELECT agg_level, dt, next_dt, fcst_crt_dt_flg, LEAD(dt, {k}) OVER w AS fcst,
+        LEAD(smoothed_seasonal_qty, {k}) OVER w AS long_season, LEAD(seasonal_qty, {k}) OVER w AS short_season
+        FROM deseason WINDOW w AS (PARTITION BY agg_level ORDER BY dt)""" for k in range(1, spec.horizon + 1))
+    return (
+        ("ahead", ahead),
+        ("outlook", """SELECT agg_level, next_dt AS snpsht, fcst, fcst_deseasonalized_qty + long_season AS f2,
+            st_fcst_deseasonalized_qty + short_season AS f3 FROM ahead JOIN fitted USING (agg_level, dt)
+            WHERE fcst_crt_dt_flg AND fcst IS NOT NULL"""),
+    )
+
+
+def together(*groups: tuple[tuple[str, str], ...]) -> tuple[tuple[str, str], ...]:
+    """CTEs of several groups, those that they share once."""
+    return tuple({name: text for group in groups for name, text in group}.items())
+
+
+def created_sql(fill: str = "0.0") -> str:
+    return f"""SELECT f.* REPLACE (CASE WHEN o.snpsht IS NOT NULL THEN o.f2 ELSE f.forecast2 END AS forecast2,
+        CASE WHEN o.snpsht IS NOT NULL THEN o.f3 ELSE f.forecast3 END AS forecast3)
+        FROM ({forecast1_sql(SPEC, fill)}) f LEFT JOIN outlook o
+        ON f.snpsht = o.snpsht AND f.fcst = o.fcst AND f.agg_level = o.agg_level"""
+
+
+SERIES_FITS = together(series_ctes(SPEC), SMOOTHING_CTES, outlook_ctes(SPEC))
+
 SELECTION_CTES = (
     ("selection", f"""SELECT fcst, agg_level, actual, GREATEST(COALESCE(forecast1, 0), 0) AS forecast1,
         COALESCE(forecast2, 0) AS forecast2,
@@ -350,6 +426,26 @@ RULES_SQL = f"""SELECT * FROM past UNION ALL
     WHERE a.snpsht = {lit(AS_OF)} AND a.fcst >= {lit(AS_OF)}"""
 
 
+def applied_sql(table: str) -> str:
+    """The table's one_forecast by the decision of its snapshot's period."""
+    return f"""SELECT a.* REPLACE ({_pick('a.forecast1', 'a.forecast2', 'a.forecast3', 'a.forecast1')}
+        AS one_forecast) FROM {table} a LEFT JOIN (SELECT fcst AS at, agg_level AS k, least_avg1,
+        least_avg2, least_avg3 FROM past) b ON a.snpsht = b.at AND a.agg_level = b.k"""
+
+
+def reading(table: str, ctes: tuple[tuple[str, str], ...]) -> tuple[tuple[str, str], ...]:
+    """The selection's CTEs over another table than the fact."""
+    return tuple((name, text.replace("FROM fact WHERE", f"FROM {table} WHERE")) for name, text in ctes)
+
+
+RUN_CTES = together(
+    year_match_ctes(SPEC, SNAP_START, SNAP_END), SERIES_FITS, (("created", created_sql()),), reading("created", RULES_CTES))
+PERIOD_CTES = together(
+    year_match_ctes(SPEC, AS_OF, AS_OF, capped=False), SERIES_FITS, (("fresh", created_sql("NULL")),
+    ("whole", f"SELECT * FROM fact WHERE snpsht < {lit(AS_OF)} UNION ALL BY NAME SELECT * FROM fresh")),
+    reading("whole", RULES_CTES))
+
+
 # --- Spark side ----------------------------------------------------------
 
 
@@ -532,9 +628,11 @@ QUERIES = [
     Query("f2_7_exp_smooth_fit",
           lambda i: fc.exp_smooth_fit(deseasonalised(i.history, i.cal, SPEC)),
           "agg_level:s, dt:d, fcst_deseasonalized_qty:f, st_fcst_deseasonalized_qty:f, alpha:f, "
-          "alpha_h1:f, alpha_h2:f, alpha_q1:f, alpha_q2:f, alpha_q3:f, alpha_q4:f"),
+          "alpha_h1:f, alpha_h2:f, alpha_q1:f, alpha_q2:f, alpha_q3:f, alpha_q4:f",
+          "SELECT * FROM fitted", ("history", "cal"), together(series_ctes(SPEC), SMOOTHING_CTES)),
     Query("f2_8_forecast23",
-          lambda i: create_fact(i.history, i.cal, SPEC, SNAP_START, SNAP_END, AS_OF), FULL_FACT),
+          lambda i: create_fact(i.history, i.cal, SPEC, SNAP_START, SNAP_END, AS_OF), FULL_FACT,
+          created_sql(), ("history", "cal"), together(WEEKLY, SERIES_FITS)),
     Query("f4_external_forecast", lambda i: fc.external_forecast(i.fact, _external(i)), FULL_FACT,
           "SELECT * REPLACE (forecast1 * 1.1 AS forecast4) FROM fact", ("history", "fact")),
     Query("f4_external_as_third",
@@ -556,9 +654,7 @@ QUERIES = [
     Query("f7_apply_rules",
           lambda i: fc.apply_rules(i.fact, fc.rules_selection(_stats(i), i.fact, i.cal, SPEC, AS_OF)),
           FULL_FACT,
-          f"""SELECT a.* REPLACE ({_pick('a.forecast1', 'a.forecast2', 'a.forecast3', 'a.forecast1')}
-          AS one_forecast) FROM fact a LEFT JOIN (SELECT fcst AS at, agg_level AS k, least_avg1,
-          least_avg2, least_avg3 FROM past) b ON a.snpsht = b.at AND a.agg_level = b.k""",
+          applied_sql("fact"),
           ("history", "cal", "fact"), RULES_CTES),
     Query("f8_bandit_selection", lambda i: fc.bandit_selection(_stats(i), AS_OF, seed=7),
           "agg_level:s, fcst:d, forecast_chosen:s, reward:f, one_value:f, actual:f, "
@@ -588,11 +684,14 @@ QUERIES = [
           "forecast4_value:f4, one_forecast_value:f4, actual_value:f4",
           _report_sql("SUM({f}) AS {f}_value"), ("history", "fact")),
     Query("f12_run_forecast",
-          lambda i: fc.run_forecast(i.history, i.cal, SPEC, SNAP_START, SNAP_END, AS_OF), FULL_FACT),
+          lambda i: fc.run_forecast(i.history, i.cal, SPEC, SNAP_START, SNAP_END, AS_OF), FULL_FACT,
+          applied_sql("created"), ("history", "cal"), RUN_CTES),
     Query("f12_run_forecast_bandit",
           lambda i: fc.run_forecast(
               i.history, i.cal, SPEC, SNAP_START, SNAP_END, AS_OF, method="bandit", seed=7),
           FULL_FACT),
     Query("f12_run_incremental",
-          lambda i: fc.run_incremental(_earlier(i), i.history, i.cal, SPEC, AS_OF), FULL_FACT),
+          lambda i: fc.run_incremental(_earlier(i), i.history, i.cal, SPEC, AS_OF), FULL_FACT,
+          f"""SELECT * FROM fact WHERE snpsht < {lit(AS_OF)} UNION ALL BY NAME {applied_sql('fresh')}""",
+          ("history", "cal", "fact"), PERIOD_CTES),
 ]

@@ -29,6 +29,11 @@ def _duck_column(name: str, kind: str) -> str:
     return f"CAST({c} AS {casts[kind]}) AS {c}"
 
 
+def _kept(name: str, text: str) -> str:
+    """Every CTE is computed once; a recursive one is so by itself."""
+    return "" if f"FROM {name}\n" in text else "MATERIALIZED"
+
+
 @dataclass(frozen=True)
 class Query:
     """``columns`` lists ``name:kind`` with kinds d date, s text, i integer,
@@ -55,7 +60,7 @@ class Query:
         if self.sql is None:
             return None
         ctes = [*duck_ctes(list(self.inputs)), *self.ctes]
-        head = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in ctes)
+        head = ",\n".join(f"{name} AS {_kept(name, text)} ({text})" for name, text in ctes)
         columns = ", ".join(_duck_column(n, k) for n, k in self._columns())
-        prefix = f"WITH {head}\n" if ctes else ""
+        prefix = f"WITH RECURSIVE {head}\n" if ctes else ""
         return f"{prefix}SELECT {columns} FROM ({self.sql}) AS result"
