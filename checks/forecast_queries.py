@@ -509,6 +509,22 @@ def _external(i: Inputs):
     return i.fact.select("snpsht", "fcst", "agg_level", (F.col("forecast1") * 1.1).alias("value"))
 
 
+def _percent_error(v: str) -> str:
+    return f"CASE WHEN actual <> 0 THEN ROUND(ABS({v} - actual) / actual, 4) END"
+
+
+OUTCOME_COLUMNS = (
+    "agg_level:s, fcst:d, forecast_chosen:s, reward:f, one_value:f, actual:f, "
+    "one_value_mape:f, forecast1_mape:f, forecast2_mape:f, forecast3_mape:f")
+OUTCOMES_SQL = f"""SELECT agg_level, fcst, 'forecast' || i AS forecast_chosen, one_value, actual,
+    {_percent_error('one_value')} AS one_value_mape,
+    {', '.join(f"{_percent_error(f'forecast{i}')} AS forecast{i}_mape" for i in (1, 2, 3))},
+    CASE WHEN width = 0 THEN 0 WHEN gain > 0.5 THEN LEAST(100 * gain * width, 100)
+        ELSE GREATEST(-100 * (1 - gain) * width, -100) END AS reward
+    FROM (SELECT *, 1 - ([mape1, mape2, mape3][i] - LEAST(mape1, mape2, mape3)) / NULLIF(width, 0) AS gain,
+        [forecast1, forecast2, forecast3][i] AS one_value
+        FROM (SELECT *, GREATEST(mape1, mape2, mape3) - LEAST(mape1, mape2, mape3) AS width FROM stats)
+        CROSS JOIN (VALUES (1), (2), (3)) v(i)) WHERE fcst <= {lit(AS_OF)}"""
 SEASON_COLUMNS = (
     "dt:d, type:s, season:s, holiday_flg:b, dt_rnk:i, next_dt:d, fcst_dts:s"
 )
@@ -657,8 +673,9 @@ QUERIES = [
           applied_sql("fact"),
           ("history", "cal", "fact"), RULES_CTES),
     Query("f8_bandit_selection", lambda i: fc.bandit_selection(_stats(i), AS_OF, seed=7),
-          "agg_level:s, fcst:d, forecast_chosen:s, reward:f, one_value:f, actual:f, "
-          "one_value_mape:f, forecast1_mape:f, forecast2_mape:f, forecast3_mape:f"),
+          OUTCOME_COLUMNS),
+    Query("f8_choice_outcomes", lambda i: fc.choice_outcomes(_stats(i), AS_OF), OUTCOME_COLUMNS,
+          OUTCOMES_SQL, ("history", "cal", "fact"), STATS_CTES),
     Query("f8_u_apply_selection",
           lambda i: fc.apply_selection(i.fact, _stats(i).select(
               "fcst", "agg_level", F.col("best_forecast").alias("forecast_chosen"))), FULL_FACT,

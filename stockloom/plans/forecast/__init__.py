@@ -6,7 +6,7 @@ from stockloom.plans.forecast.adjust import (
     reactive_adjust,
     value_report,
 )
-from stockloom.plans.forecast.bandit import apply_selection, bandit_selection
+from stockloom.plans.forecast.bandit import apply_selection, bandit_selection, choice_outcomes
 from stockloom.plans.forecast.history import densify_history
 from stockloom.plans.forecast.run import run_forecast, run_incremental
 from stockloom.plans.forecast.seasonal import (
@@ -45,7 +45,7 @@ from stockloom.plans.forecast.year_match import (
 
 __all__ = [
     "apply_forecast23", "apply_rules", "apply_selection", "bandit_selection",
-    "cap_growth", "densify_history", "deseasonalise", "error_report",
+    "cap_growth", "choice_outcomes", "densify_history", "deseasonalise", "error_report",
     "exp_smooth_fit", "external_forecast", "forecast1",
     "forecast1_incremental", "forecast23", "forecast_periods",
     "forecast_samples", "percent_adjust", "prepare_series", "reactive_adjust",

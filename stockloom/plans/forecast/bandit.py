@@ -6,9 +6,14 @@ and stops exploring after four fifths of the periods.  Rewards are immediate
 (no discounting), so this is a contextual bandit.
 
 Spark nests each key's periods (bounded by the calendar) and hands batches of
-keys to numpy, which trains all keys of a batch side by side.  Every key draws
-from its own generator, seeded by key and run seed, so a result depends
-neither on batching nor on partitioning.
+keys to numpy, which trains all keys of a batch side by side.  A draw is a hash
+of run seed, key, purpose and its number, not the next value of a generator, so
+a result depends neither on batching nor on partitioning, and any single draw
+can be made again without those before it.
+
+What a choice is worth needs no learner: rewards, values and errors are columns
+of the period (:func:`choice_outcomes`), and a chosen forecast only picks among
+them.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 from stockloom.operators.joins import update_from
@@ -32,6 +37,32 @@ REWARD_LIMIT = 100.0
 NAMES = np.array(["forecast1", "forecast2", "forecast3"])
 
 
+# Purposes of a draw.
+FIRST_LAYER, SECOND_LAYER, COIN, DICE, REPLAY = range(5)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (public SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def draws(seed: int, key: str, purpose: int, count: int) -> np.ndarray:
+    """Uniform draws 0..count-1 of a key for a purpose, in [0, 1)."""
+    name = np.array([(seed % (1 << 32)) << 32 | zlib.crc32(key.encode())], np.uint64)
+    stream = _scramble(_scramble(name) + np.array([purpose + 1], np.uint64) * _STEP)
+    values = _scramble(stream + (np.arange(count, dtype=np.uint64) + np.uint64(1)) * _STEP)
+    return (values >> np.uint64(11)) / float(1 << 53)
+
+
+def normals(seed: int, key: str, purpose: int, count: int) -> np.ndarray:
+    """Normal draws, each from a pair of uniform ones."""
+    u = draws(seed, key, purpose, 2 * count).reshape(count, 2)
+    return np.sqrt(-2.0 * np.log1p(-u[:, 0])) * np.cos(2.0 * np.pi * u[:, 1])
+
+
 def rewards(errors: np.ndarray) -> np.ndarray:
     """Reward of choosing each forecast, shape (..., 3).
 
@@ -84,11 +115,11 @@ def choose_batch(
     for k, key in enumerate(keys):
         length = n[k]
         mape[k, :length], gap[k, :length] = errors[k], gaps[k]
-        rng = np.random.default_rng([seed, zlib.crc32(key.encode())])
-        w1[k] = rng.normal(0.0, INIT_SCALE, (HIDDEN, 4))
-        w2[k] = rng.normal(0.0, INIT_SCALE, (3, HIDDEN))
-        coin[k, :length], dice[k, :length] = rng.random(length), rng.integers(0, 3, length)
-        replay[k, :length] = rng.random((length, REPLAY_STEPS))
+        w1[k] = INIT_SCALE * normals(seed, key, FIRST_LAYER, HIDDEN * 4).reshape(HIDDEN, 4)
+        w2[k] = INIT_SCALE * normals(seed, key, SECOND_LAYER, 3 * HIDDEN).reshape(3, HIDDEN)
+        coin[k, :length] = draws(seed, key, COIN, length)
+        dice[k, :length] = np.floor(3 * draws(seed, key, DICE, length))
+        replay[k, :length] = draws(seed, key, REPLAY, length * REPLAY_STEPS).reshape(length, REPLAY_STEPS)
     gain = rewards(mape)
     nets = _Networks(w1, w2)
     rows = np.arange(count)
@@ -130,9 +161,47 @@ def choose_batch(
     ]
 
 
-# Replay draws, memory and errors per key and period.
+# Replay draws, memory and errors per key and period; per key the weights, their
+# gradients and the hidden layers of a step.
 STEP_BYTES = 8 * (REPLAY_STEPS + 20)
-_OUT = "agg_level string, fcsts array<date>, chosen array<string>, reward array<double>"
+ROW_BYTES = 8 * HIDDEN * 3 * 9
+_OUT = "agg_level string, fcsts array<date>, chosen array<string>"
+
+
+def _reward(chosen: Column) -> Column:
+    """What :func:`rewards` gives for the chosen forecast."""
+    errors = [F.col(f"mape{i}") for i in (1, 2, 3)]
+    own = _of(chosen, errors)
+    low, spread = F.least(*errors), F.greatest(*errors) - F.least(*errors)
+    ratio = 1.0 - (own - low) / spread
+    good = F.least(ratio * REWARD_LIMIT * spread, F.lit(REWARD_LIMIT))
+    bad = F.greatest(-REWARD_LIMIT * (1.0 - ratio) * spread, F.lit(-REWARD_LIMIT))
+    return F.when(spread > 0, F.when(ratio > 0.5, good).otherwise(bad)).otherwise(F.lit(0.0))
+
+
+def _of(chosen: Column, values: list[Column]) -> Column:
+    return F.when(chosen == "forecast1", values[0]).when(chosen == "forecast2", values[1]).otherwise(values[2])
+
+
+def _outcome(choices: DataFrame) -> DataFrame:
+    """Adds reward, value and percent errors (NULL where the actual is missing
+    or 0) of the column forecast_chosen."""
+    chosen, names = F.col("forecast_chosen"), [str(n) for n in NAMES]
+
+    def error(name: str) -> Column:
+        share = F.abs(F.col(name) - F.col("actual")) / F.col("actual")
+        return F.when(F.col("actual") != 0, F.round(share, 4)).alias(f"{name}_mape")
+
+    valued = choices.withColumn("one_value", _of(chosen, [F.col(n) for n in names]))
+    return valued.select("agg_level", "fcst", "forecast_chosen", _reward(chosen).alias("reward"), *names, "actual", "one_value",
+                         error("one_value"), *[error(n) for n in names])
+
+
+def choice_outcomes(stats: DataFrame, as_of: dt.date) -> DataFrame:
+    """What each of the three choices gives, per key and scored period up to a
+    date; the columns are those of :func:`bandit_selection`."""
+    choice = F.explode(F.array(*[F.lit(str(n)) for n in NAMES])).alias("forecast_chosen")
+    return _outcome(stats.filter(F.col("fcst") <= F.lit(as_of)).select("*", choice))
 
 
 def bandit_selection(stats: DataFrame, as_of: dt.date, seed: int = 0) -> DataFrame:
@@ -153,7 +222,7 @@ def bandit_selection(stats: DataFrame, as_of: dt.date, seed: int = 0) -> DataFra
     nested = nested.select("agg_level", *[F.col(f"s.{f}").alias(f) for f in fields])
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunks = (c for pdf in batches for c in length_chunks(pdf, "fcst", STEP_BYTES))
+        chunks = (c for pdf in batches for c in length_chunks(pdf, "fcst", STEP_BYTES, row_bytes=ROW_BYTES))
         for pdf in chunks:
 
             def stacked(kind: str, pdf: pd.DataFrame = pdf) -> list[np.ndarray]:
@@ -163,31 +232,12 @@ def bandit_selection(stats: DataFrame, as_of: dt.date, seed: int = 0) -> DataFra
             picks = choose_batch(list(pdf["agg_level"]), stacked("mape"), stacked("gap"), seed)
             out = pd.DataFrame({"agg_level": pdf["agg_level"], "fcsts": pdf["fcst"]})
             out["chosen"] = [NAMES[a].tolist() for a, _ in picks]
-            out["reward"] = [r.tolist() for _, r in picks]
             yield out
 
-    row = F.explode(F.arrays_zip("fcsts", "chosen", "reward")).alias("r")
+    row = F.explode(F.arrays_zip("fcsts", "chosen")).alias("r")
     choices = nested.mapInPandas(learn, _OUT).select("agg_level", row).select(
-        "agg_level",
-        F.col("r.fcsts").alias("fcst"),
-        F.col("r.chosen").alias("forecast_chosen"),
-        F.col("r.reward").alias("reward"),
-    )
-    names = ["forecast1", "forecast2", "forecast3"]
-    values = scored.select("agg_level", "fcst", *names, "actual")
-    picked = F.col("forecast3")
-    for name in names[:2]:
-        picked = F.when(F.col("forecast_chosen") == name, F.col(name)).otherwise(picked)
-
-    def error(name: str):
-        share = F.abs(F.col(name) - F.col("actual")) / F.col("actual")
-        return F.when(F.col("actual") != 0, F.round(share, 4)).alias(f"{name}_mape")
-
-    return (
-        choices.join(values, ["agg_level", "fcst"])
-        .withColumn("one_value", picked)
-        .select("*", error("one_value"), *[error(n) for n in names])
-    )
+        "agg_level", F.col("r.fcsts").alias("fcst"), F.col("r.chosen").alias("forecast_chosen"))
+    return _outcome(choices.join(scored, ["agg_level", "fcst"]))
 
 
 def apply_selection(fact: DataFrame, choices: DataFrame, use_forecast4: bool = False) -> DataFrame:

@@ -26,6 +26,7 @@ from stockloom.functions import (
 )
 from stockloom.operators.joins import date_array
 from stockloom.plans.forecast.history import densify_history
+from stockloom.plans.forecast.sliding import MONTH, YEAR, percentile_batches
 from stockloom.session import materialise
 from stockloom.spec import SeriesSpec
 
@@ -151,6 +152,33 @@ def _with_calendar_gaps(hist: DataFrame, calendar: DataFrame, spec: SeriesSpec)
     return hist.unionByName(gaps)
 
 
+def _faced(items: Column, at: Column) -> Column:
+    """Sums over the pairs of an earlier entry and each recent one of its offset.
+
+    ``at`` lists the recent entries by offset.  Values that are NULL count as
+    pairs but enter neither sums nor counts of their side.
+    """
+    nothing, none = F.lit(0.0), F.lit(0).cast("long")
+    zero = F.struct(*[(none if n.endswith("_n") or n == "pairs" else nothing).alias(n)
+                      for n in ("cur", "cur_n", "prev", "prev_n", "floor", "gap", "pairs")])
+
+    def add(sums: Column, p: Column, c: Column) -> Column:
+        def known(v: Column) -> Column:
+            return F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+        gap = F.coalesce(c["share"], nothing) - F.coalesce(p["share"], nothing)
+        floored = F.when(p["value"].isNotNull(), F.greatest(p["value"], F.lit(1.0)))
+        steps = {
+            "cur": F.coalesce(c["value"], nothing), "cur_n": known(c["value"]),
+            "prev": F.coalesce(p["value"], nothing), "prev_n": known(p["value"]),
+            "floor": F.coalesce(floored, nothing), "gap": gap * gap, "pairs": F.lit(1).cast("long"),
+        }
+        return F.struct(*[(sums[n] + step).alias(n) for n, step in steps.items()])
+
+    return F.aggregate(items, zero, lambda sums, p: F.aggregate(
+        F.get(at, p["offset"].cast("int")), sums, lambda inner, c: add(inner, p, c)))
+
+
 def year_comparison(
     periods: DataFrame, hist: DataFrame, calendar: DataFrame, spec: SeriesSpec,
     span: tuple[dt.date, dt.date] | None = None,
@@ -160,8 +188,10 @@ def year_comparison(
     Columns: agg_level, snpsht, yr, cur_value, prev_value, comp_fctr,
     similarity.  Years that start before the key's history are left out.
 
-    A quarter (13 or 91 entries) is nested per (key, snapshot, yr) and paired
-    inside the row, so the recent and the earlier quarters need no self-join.
+    Quarters (13 or 91 entries) are nested per (key, snapshot).  The recent one is
+    laid out by offset, so the entries that face an earlier one are found by
+    place; each year is summed in one pass inside the row, and only its sums
+    leave it.
     """
     full = _with_calendar_gaps(hist, calendar, spec).repartition("agg_level")
     samples = snapshot_samples(full, periods, spec, span).filter(
@@ -169,7 +199,7 @@ def year_comparison(
     )
     entry = F.struct("offset", "value", "share")
     quarters = samples.groupBy("agg_level", "snpsht", "yr").agg(
-        F.collect_list(entry).alias("items")
+        F.array_sort(F.collect_list(entry)).alias("items")
     )
     recent = F.when(F.col("yr") == 0, F.col("items"))
     earlier = F.when(F.col("yr") != 0, F.struct("yr", "items"))
@@ -177,23 +207,21 @@ def year_comparison(
         F.flatten(F.collect_list(recent)).alias("recent"),
         F.collect_list(earlier).alias("earlier"),
     )
-    year = nested.select(
-        "agg_level", "snpsht", "recent", F.explode("earlier").alias("e")
-    ).select("agg_level", "snpsht", "recent", "e.yr", F.explode("e.items").alias("p"))
-    paired = year.select(
-        "agg_level", "snpsht", "yr", "p",
-        F.explode(F.filter("recent", lambda c: c["offset"] == F.col("p.offset"))).alias("c"),
-    )
-    cur, prev = F.col("c.value"), F.col("p.value")
-    share_gap = F.coalesce(F.col("c.share"), F.lit(0.0)) - F.coalesce(F.col("p.share"), F.lit(0.0))
-    floored = F.when(prev.isNotNull(), F.greatest(prev, F.lit(1.0)))
-    sums = paired.groupBy("agg_level", "snpsht", "yr").agg(
-        F.sum(cur).alias("cur_value"),
-        F.sum(prev).alias("prev_value"),
-        F.avg(cur).alias("_cur_avg"),
-        F.avg(prev).alias("_prev_avg"),
-        F.avg(floored).alias("_floor_avg"),
-        F.sum(share_gap * share_gap).alias("_gap"),
+    offsets = F.sequence(F.lit(0), F.lit(OFFSET_MODULUS - 1))
+    places = F.transform(offsets, lambda o: F.filter("recent", lambda c: c["offset"] == o))
+    # The lambda's variable holds the places, so they are laid out once per row.
+    years = F.flatten(F.transform(F.array(places), lambda at: F.transform(
+        "earlier", lambda e: F.struct(e["yr"].alias("yr"), _faced(e["items"], at).alias("f")))))
+    paired = nested.select("agg_level", "snpsht", F.explode(years).alias("y")).filter("y.f.pairs > 0")
+    f = F.col("y.f")
+    sums = paired.select(
+        "agg_level", "snpsht", "y.yr",
+        F.when(f["cur_n"] > 0, f["cur"]).alias("cur_value"),
+        F.when(f["prev_n"] > 0, f["prev"]).alias("prev_value"),
+        F.try_divide(f["cur"], f["cur_n"]).alias("_cur_avg"),
+        F.try_divide(f["prev"], f["prev_n"]).alias("_prev_avg"),
+        F.try_divide(f["floor"], f["prev_n"]).alias("_floor_avg"),
+        f["gap"].alias("_gap"),
     )
     low_volume = (F.col("cur_value") <= spec.window) & (F.col("prev_value") <= spec.window)
     falling = F.col("cur_value") < F.col("prev_value")
@@ -211,45 +239,33 @@ def year_comparison(
     )
 
 
-def _percentile(values: Column, copies: Column, p: float) -> Column:
-    """Interpolated percentile of sorted values that each occur ``copies`` times."""
-    place = (F.size(values) * copies - 1) * F.lit(p)
-    low = F.get(values, F.floor(F.floor(place) / copies).cast("int"))
-    high = F.get(values, F.floor(F.ceil(place) / copies).cast("int"))
-    return low + (high - low) * (place - F.floor(place))
-
-
 def cap_growth(comparison: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Growth factors above the 90th percentile replaced by the median.
 
     The reference values are the key's factors at snapshots of the year before.
-    They are the same for all years of a snapshot, so the range window (at most
-    a year of snapshots) runs over one row per key and snapshot.  Percentiles
+    They are the same for all years of a snapshot, so one run per key slides
+    over its snapshots: a factor enters a sorted list once and leaves it once,
+    and a key takes memory for its own snapshots only.  Percentiles
     are taken over (row, reference) pairs: each value occurs once per yr row
     and target, which matters for interpolation and enters as a repetition
     count.
     """
-    day = F.datediff("snpsht", F.lit("1970-01-01").cast("date"))
-    year_before = Window.partitionBy("agg_level").orderBy(day).rangeBetween(-366, -1)
-    entry = F.struct(F.col("snpsht").alias("s"), F.col("_own").alias("f"))
-    begin = F.add_months("snpsht", -12)
-    inside = F.filter("_near", lambda e: e["s"] > begin)
-    found = (
-        comparison.groupBy("agg_level", "snpsht")
-        .agg(F.collect_list("comp_fctr").alias("_own"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_near", F.collect_list(entry).over(year_before))
-        .withColumn("_ref", F.array_sort(F.flatten(F.transform(inside, lambda e: e["f"]))))
-        .withColumn("_copies", F.col("_rows") * spec.horizon)
-    )
-    has_ref = F.size("_ref") > 0
-    limits = [
-        F.when(has_ref, _percentile(F.col("_ref"), F.col("_copies"), p)).alias(name)
-        for name, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))
-    ]
+    shares = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+    day = F.year("snpsht") * YEAR + F.month("snpsht") * MONTH + F.dayofmonth("snpsht")
+    snapshots = comparison.groupBy("agg_level", "snpsht").agg(
+        F.collect_list("comp_fctr").alias("own"), F.count(F.lit(1)).alias("rows"))
+    entry = F.struct(day.alias("day"), "snpsht", "own", (F.col("rows") * spec.horizon).alias("copies"))
+    keys = snapshots.groupBy("agg_level").agg(F.array_sort(F.collect_list(entry)).alias("s")).select(
+        "agg_level", F.col("s.snpsht").alias("dts"), F.col("s.day").alias("days"),
+        F.transform("s", lambda e: F.size(e["own"])).alias("sizes"), F.col("s.copies").alias("copies"),
+        F.flatten("s.own").alias("vals"))
+    listed = ", ".join(f"p{i} array<double>" for i in range(len(shares)))
+    found = keys.mapInArrow(percentile_batches(tuple(shares.values())), f"agg_level string, dts array<date>, {listed}")
+    zipped = F.arrays_zip("dts", *[f"p{i}" for i in range(len(shares))])
+    limits = found.select("agg_level", F.explode(zipped).alias("r")).select(
+        "agg_level", F.col("r.dts").alias("snpsht"), *[F.col(f"r.p{i}").alias(name) for i, name in enumerate(shares)])
     capped = F.when(F.col("comp_fctr") > F.col("p90"), F.col("p50")).otherwise(F.col("comp_fctr"))
-    return comparison.join(
-        found.select("agg_level", "snpsht", *limits), ["agg_level", "snpsht"]
-    ).withColumn("comp_fctr", capped)
+    return comparison.join(limits, ["agg_level", "snpsht"]).withColumn("comp_fctr", capped)
 
 
 def similarity_weights(comparison: DataFrame) -> DataFrame:

@@ -126,9 +126,138 @@ def test_bandit_learns_a_clear_winner():
     assert (actions[170:] == 1).all()
 
 
+def plain_uniform(seed, key, purpose, n):
+    """A draw by itself, in whole numbers."""
+    import zlib
+
+    size = (1 << 64) - 1
+
+    def scramble(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & size
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & size
+        return x ^ (x >> 31)
+
+    step = 0x9E3779B97F4A7C15
+    stream = scramble(scramble(seed << 32 | zlib.crc32(key.encode())) + (purpose + 1) * step & size)
+    return (scramble(stream + (n + 1) * step & size) >> 11) / 2 ** 53
+
+
+def plain_learner(key, errors, gaps, seed):
+    """One key, one period, one hidden unit after the other."""
+    import math
+
+    def normal(purpose, n):
+        u, v = (plain_uniform(seed, key, purpose, 2 * n + i) for i in (0, 1))
+        return 0.01 * math.sqrt(-2 * math.log1p(-u)) * math.cos(2 * math.pi * v)
+
+    w1 = [[normal(0, 4 * h + s) for s in range(4)] for h in range(100)]
+    w2 = [[normal(1, 100 * a + h) for h in range(100)] for a in range(3)]
+    b1, b2 = [0.0] * 100, [0.0] * 3
+
+    def scores(state):
+        hidden = [math.tanh(sum(w * x for w, x in zip(row, state)) + b) for row, b in zip(w1, b1)]
+        return [sum(w * h for w, h in zip(row, hidden)) + b for row, b in zip(w2, b2)], hidden
+
+    def train(state, action, reward):
+        out, hidden = scores(state)
+        step = 0.1 * max(-1.0, min(1.0, out[action] - reward))
+        back = [w * (1 - h * h) * step for w, h in zip(w2[action], hidden)]
+        for h in range(100):
+            w2[action][h] -= hidden[h] * step
+            b1[h] -= back[h]
+            for s in range(4):
+                w1[h][s] -= back[h] * state[s]
+        b2[action] -= step
+
+    n, memory, actions, gains = len(errors), {}, [], []
+    last, before = 1.0, None
+    size = int(n * 0.2) + 1
+    for t in range(n):
+        state = [last, *gaps[t]]
+        explore = 0.0 if t > n * 0.8 else 1 - t / (n * 0.8)
+        out = scores(state)[0]
+        action = int(3 * plain_uniform(seed, key, 3, t)) if plain_uniform(seed, key, 2, t) < explore else out.index(max(out))
+        if before:
+            train(*before)
+            memory[(t - 1) % size] = before
+            for d in range(10):
+                train(*memory[int(plain_uniform(seed, key, 4, 10 * t + d) * min(t, size))])
+        gain = float(rewards(np.array(errors[t]))[action])
+        actions.append(action)
+        gains.append(gain)
+        before, last = (state, action, gain), errors[t][action]
+    return actions, gains
+
+
+def test_bandit_equals_a_plain_loop_per_key():
+    rng = np.random.default_rng(11)
+    keys = ["north|a", "south|b", "é"]
+    errors, gaps = [rng.random((n, 3)) for n in (60, 25, 1)], [rng.random((n, 3)) / 4 for n in (60, 25, 1)]
+    for seed in (0, 7):
+        for key, e, g, (actions, gains) in zip(keys, errors, gaps, choose_batch(keys, errors, gaps, seed)):
+            want = plain_learner(key, e.tolist(), g.tolist(), seed)
+            assert actions.tolist() == want[0] and gains.tolist() == pytest.approx(want[1])
+
+
+def test_a_chosen_forecast_picks_among_the_outcomes(spark):
+    rng = random.Random(3)
+    fact = fact_rows(spark, [(w, rng.uniform(5, 15), rng.uniform(5, 15) if w % 5 else 0.0) for w in range(30)]).withColumn(
+        "forecast2", F.col("forecast1") * 1.1)
+    last = SUNDAY + dt.timedelta(weeks=29)
+    stats = fc.rolling_error_stats(fc.selection_base(fact, last, SPEC), SPEC, last)
+    chosen, outcomes = fc.bandit_selection(stats, last, seed=3), fc.choice_outcomes(stats, last)
+    assert chosen.columns == outcomes.columns and outcomes.count() == 3 * chosen.count() == 3 * stats.count()
+    all_rows = {repr(r) for r in outcomes.collect()}
+    assert {repr(r) for r in chosen.collect()} <= all_rows
+
+
 # --- history, year match -----------------------------------------------------
 
 
+def test_growth_limits_of_a_daily_series(spark):
+    """Percentiles of the year before, against a sort of everything per snapshot."""
+    from fractions import Fraction
+
+    rng = random.Random(12)
+    start = dt.date(1999, 1, 1)
+    days = sorted(rng.sample(range(800), 500))
+    rows = [(k, start + dt.timedelta(days=d), yr, rng.choice([rng.random(), 0.5, 1.0])) for k in "ab" for d in days for yr in range(1, 1 + rng.randrange(1, 5))]
+    df = spark.createDataFrame(rows, "agg_level string, snpsht date, yr int, comp_fctr double")
+    got = {(r.agg_level, r.snpsht, r.yr): (r.p10, r.p50, r.p90, r.comp_fctr) for r in fc.cap_growth(df, SPEC).collect()}
+    assert len(got) == len(rows)
+    for key, day, yr, factor in rng.sample(rows, 120) + [r for r in rows if r[1].month == 2 and r[1].day == 29]:
+        try:
+            begin = day.replace(year=day.year - 1)
+        except ValueError:
+            begin = day.replace(year=day.year - 1, day=28)
+        copies = 3 * sum(r[:2] == (key, day) for r in rows)
+        pool = sorted(r[3] for r in rows if r[0] == key and begin < r[1] < day for _ in range(copies))
+        limits = got[key, day, yr][:3]
+        if not pool:
+            assert limits == (None, None, None)
+            continue
+        for p, have in zip((Fraction(1, 10), Fraction(1, 2), Fraction(9, 10)), limits):
+            place = (len(pool) - 1) * p
+            low, high = pool[int(place)], pool[-int(-place // 1)]
+            assert have == pytest.approx(low + (high - low) * float(place - int(place)))
+        assert got[key, day, yr][3] == (limits[1] if factor > limits[2] else factor)
+
+
+def test_years_are_compared_inside_the_row(spark):
+    """The recent quarter is not copied onto the earlier entries."""
+    rng = random.Random(1)
+    raw = weekly(spark, {"a": [(w, 20 + rng.random()) for w in range(52 * 3)]})
+    cal = covering_calendar(raw, SPEC.time_col, 5, 2)
+    hist = fc.densify_history(raw, SPEC)
+    last = SUNDAY + dt.timedelta(weeks=52 * 3 - 1)
+    periods = fc.snapshot_periods(cal, hist, SPEC, last, last, last)
+    compared = fc.year_comparison(periods, hist, cal, SPEC, (last, last))
+    plan = compared._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("collect_list")]
+    assert above.count("Generate explode") == 1 and "Join" not in above
+    assert 1 <= compared.count() <= 3
+
+
 def test_densify_starts_at_first_positive_value(spark):
     raw = weekly(spark, {"a": [(0, 0), (2, 5), (4, 1)], "b": [(1, 2)], "c": [(3, 0)]})
     got = sorted((r.agg_level, (r.dt - SUNDAY).days // 7, r.value) for r in fc.densify_history(raw, SPEC).collect())
