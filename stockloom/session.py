@@ -46,15 +46,22 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
     return spark
 
 
+# Python steps hold a batch several times over (Arrow, objects, results), so batches
+# are kept below Spark's default; a session that sets the limit itself keeps its own.
+ARROW_BYTES, ARROW_DEFAULT, ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
+    """Send this package to the Python workers, once per application, and bound
+    the batches that they are handed.
 
     Needed where it is not installed on the executors; the driver hands the
     archive to Spark, which distributes it.
     """
+    if spark.conf.get(ARROW_BYTES) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_BYTES, ARROW_LIMIT)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parent
