@@ -16,42 +16,37 @@ Documents are not shuffled.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import mix, plain_tokens, plain_units, where_python, with_python
+from stockloom.llm.common import mix, plain_units, where_python, with_python
 
 #: Upper ends of the size partitions, in shingles; larger items have their own.
 SIZES = (8, 16, 24, 32, 48, 64, 96, 128, 192, 256, 512, 1024)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles_of(text: str | None, size: int, cut: Callable[[str | None], list[str]] = plain_tokens) -> list[tuple[str, ...]]:
+def shingles_of(text: str | None, size: int) -> list[tuple[str, ...]]:
     """Word shingles in order; a shorter text is one shingle, no words none."""
-    t = cut(text)
+    t = plain_units(text)
     return [tuple(t[i:i + size]) for i in range(max(1, len(t) - size + 1))] if t else []
 
 
 class Items:
-    """One block of items: shingle numbers, signatures, and their postings.
+    """One block of items: shingle numbers, signatures, and their postings."""
 
-    With ``anywhere`` items shorter than a shingle are found in texts of any
-    length, and ideographs, kana and Hangul are words of their own.
-    """
-
-    def __init__(self, items: list[tuple[int | None, str]], size: int, percent: int, anywhere: bool = False):
-        self.size, self.percent, self.anywhere = size, percent, anywhere
-        self.cut = plain_units if anywhere else plain_tokens
+    def __init__(self, items: list[tuple[int | None, str]], size: int, percent: int):
+        self.size, self.percent = size, percent
         self.words: dict[str, int] = {}
         self.sets: list[set[tuple[int, ...]]] = []
         self.members: list[list[int]] = []
         by_set: dict[frozenset, int] = {}
         for item_id, text in items:
-            found = {tuple(self.words.setdefault(w, len(self.words) + 1) for w in s) for s in shingles_of(text, size, self.cut)}
+            found = {tuple(self.words.setdefault(w, len(self.words) + 1) for w in s) for s in shingles_of(text, size)}
             if not found:
                 continue
             key = frozenset(found)
@@ -82,13 +77,12 @@ class Items:
 
     def search(self, text: str | None) -> list[dict[str, int]]:
         """Item, number of its shingles and of those found, for the items that the text contains."""
-        tokens = self.cut(text)
+        tokens = plain_units(text)
         get = self.words.get
         words = np.array([get(t, 0) for t in tokens], np.uint64)
-        lengths = self.lengths if self.anywhere else [min(self.size, len(words))]
         hit: set[int] = set()
         seen: set[tuple[int, ...]] = set()
-        for length in lengths:
+        for length in self.lengths:
             if not 0 < length <= len(words) or not len(self.keys):
                 continue
             full = np.flatnonzero(np.convolve(words != 0, np.ones(length, int), "valid") == length)  # runs of known words
@@ -109,10 +103,12 @@ class Items:
         return out
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of at most about ``block_items`` rows, by hash; null ids last."""
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks, by hash, of about ``block_items`` rows and
+    ``block_bytes`` bytes of text at most; null ids last."""
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    blocks = max(1, -(-rows.count() // block_items))
+    count, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-count // block_items), -(-size // block_bytes))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
         yield sorted(((r["id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
@@ -120,20 +116,20 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> I
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 80,
-                       block_items: int = 50_000) -> DataFrame:
+                       block_items: int = 50_000, block_bytes: int = 1 << 24) -> DataFrame:
     """(doc_id, item_id, item_shingles, found_shingles, containment): every item
     of which a document holds at least ``percent`` of the distinct shingles.
 
     Words are lower-cased runs of letters and digits, so punctuation and line
-    breaks do not matter.  Null and wordless texts contain nothing and are
-    contained in nothing.  A text of fewer words than a shingle is one shingle,
-    so such an item is found in texts of just these words and not in longer ones.
-    Repeated rows give repeated results.
+    breaks do not matter; ideographs, kana and Hangul are words of their own.
+    Null and wordless texts contain nothing and are contained in nothing.  An
+    item of fewer words than a shingle is one shingle, found wherever a document
+    holds these words in a row.  Items without id are items too.  Repeated rows
+    give repeated results.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
     out = None
-    named = items.where(F.col(item_id).isNotNull())  # a pair names its item
-    for block in _blocks(named, item_id, item_text, block_items):
+    for block in _blocks(items, item_id, item_text, block_items, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent))
 
         def search(b: pa.RecordBatch, shared=shared) -> dict[str, list]:
@@ -147,11 +143,11 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_text: str = "text", item_id: str = "item_id",
                       item_text: str = "text", size: int = 5, percent: int = 80, block_items: int = 50_000,
-                      anywhere: bool = False) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with or without id; all columns
-    as they are.  ``anywhere`` as in ``Items``."""
-    for block in _blocks(items, item_id, item_text, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent, anywhere))
+                      block_bytes: int = 1 << 24) -> DataFrame:
+    """The rows of ``docs`` that contain no item by the definition of
+    ``contaminated_pairs``; all columns as they are."""
+    for block in _blocks(items, item_id, item_text, block_items, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(Items(block, size, percent))
 
         def clean(b: pa.RecordBatch, shared=shared) -> list[bool]:
             return [not shared.value.search(t) for t in b.column(doc_text).to_pylist()]

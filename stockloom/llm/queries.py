@@ -104,17 +104,20 @@ def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(_table(spark, folder, "embeddings"))
 
 
-_OP4_SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
-ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE
-         list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d),
-b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
-bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE
-         list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM b),
-n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id)
-SELECT doc_id, item_id, item_shingles, count(*) AS found_shingles, count(*) / item_shingles AS containment
-FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, item_shingles
-HAVING 100 * count(*) >= 80 * item_shingles
+_EAST = r"[\x{2e80}-\x{9fff}\x{ac00}-\x{d7af}\x{f900}-\x{faff}]"
+_OP4_WORDS = rf"regexp_extract_all(regexp_replace(lower(text), '({_EAST})', ' \1 ', 'g'), '{_EAST}|[\p{{L}}\p{{N}}]+')"
+_OP4_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, {_OP4_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS b, item_id, {_OP4_WORDS} AS w FROM benchmark),
+bs AS (SELECT DISTINCT b, least(5, len(w)) AS n, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM bs),
+ds AS (SELECT DISTINCT d, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+       FROM d JOIN lengths ON len(w) >= n),
+k AS (SELECT b, count(*) AS item_shingles FROM bs GROUP BY b),
+found AS (SELECT d, b, count(*) AS found_shingles FROM ds JOIN bs USING (n, s) GROUP BY d, b)
+SELECT doc_id, item_id, item_shingles, found_shingles, found_shingles / item_shingles AS containment
+FROM found JOIN k USING (b) JOIN d USING (d) JOIN b USING (b) WHERE 100 * found_shingles >= 80 * item_shingles
 """
 
 _OP5_SQL = r"""

@@ -119,11 +119,36 @@ def grams(text, n=5):
     return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
+def units(text):
+    """Runs of letters and digits; ideographs, kana and Hangul one by one."""
+    out = []
+    for run in re.findall(r"[^\W_]+|[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]", (text or "").lower()):
+        rest = ""
+        for c in run:
+            if "\u2e80" <= c <= "\u9fff" or "\uac00" <= c <= "\ud7af" or "\uf900" <= c <= "\ufaff":
+                out += [rest, c] if rest else [c]
+                rest = ""
+            else:
+                rest += c
+        out += [rest] if rest else []
+    return out
+
+
+def leak(item, text):
+    """(shingles of an item, those that a text holds); an item of fewer words than
+    a shingle is one, wherever it stands."""
+    words, own = units(text), units(item)
+    n = min(5, len(own))
+    mine, theirs = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if n else set() for w in (own, words))
+    return len(mine), len(mine & theirs)
+
+
 def test_leaks_against_plain(spark, docs):
     rng = random.Random(3)
     word = lambda: f"w{rng.randrange(3000)}"
     items = [(i, " ".join(word() for _ in range(rng.choice((1, 3, 5, 9, 30, 60, 400))))) for i in range(60)]
-    items += [(60, items[10][1]), (61, None), (62, ""), (63, "!!"), (64, "same same same same same same same")]
+    items += [(60, items[10][1]), (61, None), (62, ""), (63, "!!"), (64, "same same same same same same same"),
+              (None, items[11][1]), (None, "北京烤鸭"), (65, "漢"), (66, "two words"), (66, "two words")]
     rows = []
     for i in range(150):
         body = [word() for _ in range(rng.randrange(400))]
@@ -135,15 +160,18 @@ def test_leaks_against_plain(spark, docs):
             at = rng.randrange(len(body) + 1)
             body[at:at] = passage
         rows.append((i, ", ".join(body).upper() if i % 3 else "\n".join(body)))
+    rows += [(300, "昨天我们吃了北京烤鸭很好 and two  words"), (301, "北京的烤鸭店, 漢"), (302, "words two"), (303, "two words")]
     rows += [(None, items[30][1] + " tail"), (200, None), (201, ""), (202, "same " * 50), (5, items[31][1]), (5, items[31][1])]
     table = spark.createDataFrame(items, "item_id long, text string")
-    want = sorted(((d, i, len(grams(t)), len(grams(t) & grams(x))) for d, x in rows for i, t in items
-                   if grams(t) and 100 * len(grams(t) & grams(x)) >= 80 * len(grams(t))), key=repr)
+    want = sorted(((d, i, *found) for d, x in rows for i, t in items for found in [leak(t, x)]
+                   if found[0] and 100 * found[1] >= 80 * found[0]), key=repr)
+    assert {(300, None), (300, 66), (301, 65), (303, 66)} <= {w[:2] for w in want} and not any(w[0] == 302 for w in want)
     assert len(want) > 40
     df = docs(rows, extra=True)
     for block in (50_000, 7):
-        got = contaminated_pairs(df, table, block_items=block).collect()
+        got = contaminated_pairs(df, table, block_items=block, block_bytes=2_000 if block == 7 else 1 << 20).collect()
         assert sorted((tuple(r)[:4] for r in got), key=repr) == want
         clean = drop_contaminated(df, table, block_items=block)
-        assert clean.columns == df.columns and clean.count() == len(rows) - len({(d, x) for d, x in rows if any(w[0] == d for w in want)}) - 1
+        hit = lambda x: any(n and 100 * k >= 80 * n for n, k in (leak(t, x) for _, t in items))
+        assert clean.columns == df.columns and clean.count() == sum(not hit(x) for _, x in rows)
     assert contaminated_pairs(docs([]), table).count() == 0 and drop_contaminated(df, table.limit(0)).count() == len(rows)
