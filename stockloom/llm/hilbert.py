@@ -49,12 +49,6 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def text_code(c: str) -> Column:
-    """A number with the order of a text's first six bytes; null is below all."""
-    padded = F.rpad(F.hex(F.substring(F.col(c).cast("binary"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(padded, 16, 10).cast("double"), F.lit(-1.0))
-
-
 def with_rank(df: DataFrame, c: str, name: str) -> DataFrame:
     """Adds ``name``, the place of the whole text in column ``c`` among the
     distinct ones, from 0; null has none.  ``name`` and ``part`` must not be in
@@ -75,29 +69,34 @@ def hilbert_shards(df: DataFrame, dims: dict[str, Column], tie: list[str], shard
     """``df`` with curve (index), shard and slot (place in the shard from 0).
 
     ``dims`` maps names to numeric columns; nulls count as below all values.
-    ``tie`` names the columns that order rows of one cell; rows equal in them
-    are interchangeable.  Columns named curve, shard, slot or like a dimension
-    must not be in ``df``.  An empty table gives an empty result.
+    ``tie`` names the columns that order rows of one cell, nulls first; rows equal
+    in them are interchangeable, and are told apart by a running number, so that
+    however many of them there are, they span ranges like others.  Columns of ``df`` named curve, shard or slot give
+    way to the result's; all others, whatever their names, are as they were.  An
+    empty table gives an empty result.
     """
-    names = list(dims)
-    keyed = df.select("*", *[F.coalesce(c.cast("double"), F.lit(-1.0)).alias(n) for n, c in dims.items()])
-    cuts = boundaries(keyed, names, bits)
+    places = {n: f"dim{i}" for i, n in enumerate(dims)}
+    order = ["curve", *[f"tie{i}" for i in range(len(tie))], "copy"]
+    keyed = df.select(F.struct(*df.columns).alias("row"), F.monotonically_increasing_id().alias("copy"),
+                      *[F.col(c).alias(f"tie{i}") for i, c in enumerate(tie)],
+                      *[F.coalesce(c.cast("double"), F.lit(-1.0)).alias(places[n]) for n, c in dims.items()])
+    cuts = boundaries(keyed, [*places.values()], bits)
 
     def place(b: pa.RecordBatch) -> dict[str, list]:
         # Few distinct values are spread over the whole axis, else the curve's
         # leading bits would never see them.
         cells = np.stack([(np.searchsorted(cut, b.column(n).to_numpy(), side="right") << bits) // (len(cut) + 1)
-                          for n, cut in zip(names, cuts)], axis=1)
+                          for n, cut in zip(places.values(), cuts)], axis=1)
         return {"curve": hilbert_index(cells, bits)}
 
-    curved = with_python(keyed, place, "curve long", drop=tuple(names))
-    order = ["curve", *tie]
+    curved = with_python(keyed, place, "curve long", drop=tuple(places.values()))
     staged = in_ranges(curved, order, "hilbert")
     ranked = with_before(staged, order, {"rank": F.lit(1).cast("long")})
-    return (ranked.withColumn("rows", staged.agg(F.count(F.lit(1))).scalar())
-            .withColumn("shard", F.expr(f"(rank * {shards}) div rows").cast("int"))
-            .withColumn("slot", F.expr(f"rank - (shard * rows + {shards - 1}) div {shards}"))
-            .drop("rank", "rows"))
+    placed = (ranked.withColumn("rows", staged.agg(F.count(F.lit(1))).scalar())
+              .withColumn("shard", F.expr(f"(rank * {shards}) div rows").cast("int"))
+              .withColumn("slot", F.expr(f"rank - (shard * rows + {shards - 1}) div {shards}")))
+    kept = [F.col(f"row.`{c}`") for c in df.columns if c not in ("curve", "shard", "slot")]
+    return placed.select(*kept, "curve", "shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, order: list[str]) -> None:

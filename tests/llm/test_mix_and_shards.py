@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from stockloom.llm.hilbert import hilbert_index, hilbert_shards, text_code, write_shards
+from stockloom.llm.hilbert import hilbert_index, hilbert_shards, with_rank, write_shards
 from stockloom.llm.mixing import mix, mix_report
 from stockloom.llm.queries import QUERIES
 
@@ -92,7 +92,8 @@ def test_curve_steps_to_neighbours():
 
 
 def sharded(df, shards=40):
-    rows = df.select("doc_id", F.length("text").alias("size"), text_code("lang").alias("l"), text_code("source").alias("s"))
+    rows = df.select("doc_id", F.length("text").alias("size"), "lang", "source")
+    rows = with_rank(with_rank(rows, "lang", "l"), "source", "s")
     return hilbert_shards(rows, {"_l": F.col("l"), "_s": F.col("s"), "_n": F.col("size")}, ["size", "doc_id"], shards)
 
 
@@ -135,5 +136,62 @@ def test_sources_of_one_beginning_are_told_apart(spark, tmp_path):
     assert len(shards) == 40 and np.mean([len(s) for s in shards.values()]) < 4
 
 
+def plain_shards(rows, shards=40, bits=8):
+    """Sorted (doc_id, size, text_crc32, shard, slot): ranks, quantiles, curve and
+    cuts of (doc_id, text, lang, source), in one process."""
+    def ranks(values):
+        known = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}, key=str.encode))}
+        return [known.get(v, -1) for v in values]
+
+    raw = [(t or "").encode() for _, t, *_ in rows]
+    sizes = [len(r) + 16 for r in raw]
+    columns = [ranks([r[2] for r in rows]), ranks([r[3] for r in rows]), sizes]
+    n, cells = len(rows), []
+    if not n:
+        return []
+    for values in columns:
+        ordered = sorted(values)
+        cuts = sorted({ordered[max(0, -(-i * n // (1 << bits)) - 1)] for i in range(1, 1 << bits)})
+        cells.append([(sum(c <= v for c in cuts) << bits) // (len(cuts) + 1) for v in values])
+    curve = hilbert_index(np.array(cells).T, bits).tolist() if n else []
+    keys = sorted((k, s, zlib.crc32(r), (i is not None, i or 0)) for k, s, r, (i, *_) in zip(curve, sizes, raw, rows))
+    out = []
+    for rank, (_, size, crc, (known, i)) in enumerate(keys):
+        shard = rank * shards // n
+        out.append((i if known else None, size, crc, shard, rank - -(-shard * n // shards)))
+    return sorted(out, key=repr)
+
+
+def test_shards_against_plain(spark, tmp_path):
+    """Through the query, with null ids, repeated rows, ties and clashing names."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, i % 70, i]), rng.choice([None, "", "é" * (i % 9), "word " * rng.randrange(400)]),
+             rng.choice([None, "en", "de", "日本"]), "hot" if i % 3 else f"s{i % 11}") for i in range(500)]
+    rows += [(5, "the very same row", "en", "hot")] * 200 + [(None, "x" * 200_000, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for k, n in enumerate((0, 1, 40, len(rows))):
+        path = tmp_path / str(k)
+        df = frame.limit(n).select("*", *[F.lit("x").alias(c) for c in ("curve", "shard", "slot", "rank", "rows", "part", "copy", "row", "dim0", "tie0")])
+        df.write.parquet(str(path / "documents.parquet"))
+        got = QUERIES["op10_hilbert_shards"](spark, str(path)).collect()
+        kept = [tuple(r)[:4] for r in spark.read.parquet(str(path / "documents.parquet")).collect()]
+        assert sorted(((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in got), key=repr) == plain_shards(kept)
+
+
+def test_names_of_the_input_do_not_matter(spark):
+    df = spark.range(100).select("id", *[F.lit(c).alias(c) for c in ("curve", "shard", "rank", "rows", "part", "copy", "row", "dim0", "tie0")])
+    out = hilbert_shards(df, {"_i": F.col("id")}, ["id"], 10)
+    assert out.columns == ["id", "rank", "rows", "part", "copy", "row", "dim0", "tie0", "curve", "shard", "slot"]
+    assert out.where("rank = 'rank' and row = 'row'").count() == 100 and out.groupBy("shard").count().where("count = 10").count() == 10
+
+
+def test_equal_rows_span_ranges(spark):
+    df = spark.range(4000).select(F.lit(1).alias("size"), F.lit(None).cast("long").alias("doc_id"))
+    assert hilbert_shards(df, {"_n": F.col("size")}, ["size", "doc_id"], 40).groupBy("shard").count().where("count = 100").count() == 40
+    from stockloom.llm.common import in_ranges
+    parts = in_ranges(df.withColumn("copy", F.monotonically_increasing_id()), ["size", "doc_id", "copy"], "test").groupBy("part").count()
+    assert parts.count() == 8 and parts.agg(F.max("count")).first()[0] < 1000
+
+
 def test_crc_is_zlib(spark):
     assert spark.range(1).select(F.crc32(F.lit("é").cast("binary"))).first()[0] == zlib.crc32("é".encode())
