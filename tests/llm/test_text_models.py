@@ -76,6 +76,109 @@ def test_views_teach_each_other(spark, docs):
     assert np.allclose(taught.views[0].weights, again.views[0].weights)
 
 
+def plain_judge(spark, rows, labels, rounds, share, sure, steps=2):
+    """Co-training of (id, text, lang, source) in one process, with whole arrays."""
+    from collections import Counter
+
+    total, names = len(rows), []
+    for c in (3, 2):
+        often = [v for v, n in Counter(r[c] for r in rows if r[c] is not None).items() if n * cotraining.SHARE >= total]
+        names.append({v: i for i, v in enumerate(sorted(often))})
+    known = {}
+    for i, good in labels:
+        if i is not None and good is not None:
+            known.setdefault(i, []).append(good)
+    known = {i: int(np.mean(g) >= 0.5) for i, g in known.items()}
+    texts = {}
+    for i, text, lang, source in rows:
+        view = (cotraining.metadata_view(text, lang, source, cotraining.Names(*names)).tobytes(), cotraining.text_view(text).tobytes())
+        at = (i if i in known else None, text or "")
+        texts[at] = min(texts.get(at, view), view)
+    keys = sorted(texts, key=repr)
+    hashed = spark.createDataFrame([(i,) for i in known], "i long").select("i", F.pmod(F.xxhash64("i"), F.lit(5)).alias("f"))
+    fold = {r.i: r.f for r in hashed.collect()}
+    x = [np.stack([np.frombuffer(texts[k][1 - v], np.uint8) for k in keys]) for v in (0, 1)]
+    y = np.array([np.nan if i is None else float(known[i]) for i, _ in keys])
+    fit = ~np.isnan(y) & np.array([i is not None and fold[i] != 0 for i, _ in keys])
+    held, free = ~np.isnan(y) & ~fit, np.isnan(y)
+    views = [cotraining.View.fit(x[v][fit], y[fit]) for v in (0, 1)]
+
+    def calibrate():
+        for v in (0, 1):
+            views[v].slope, views[v].offset = cotraining.calibrate(views[v].margin(x[v][held]), y[held])
+
+    calibrate()
+    for number in range(1, rounds + 1):
+        told = []
+        for v in (0, 1):
+            z = views[v].logit(x[v])
+            bins = np.clip(np.floor((np.clip(z, -30, 30) + 30) * 100), 0, 5999)
+            label = np.full(len(z), np.nan)
+            for sign, value in ((-1, 1.0), (1, 0.0)):  # from the surest bin on
+                taken = 0
+                for b in sorted(set(bins[free].tolist()), key=lambda b: sign * b):
+                    n = int((bins[free] == b).sum())
+                    edge = -30 + b / 100 if value else -(-30 + (b + 1) / 100)
+                    if edge < np.log(sure / (1 - sure)) - 1e-9 or (taken and taken + n > share * number * free.sum()):
+                        break
+                    label[bins == b] = value
+                    taken += n
+                    if taken > share * number * free.sum():
+                        break
+            told.append(label)
+        for v in (0, 1):
+            target = np.where(fit, y, np.where(free, told[1 - v], np.nan))
+            use = ~np.isnan(target)
+            a, t = cotraining.with_one(views[v].standard(x[v][use])).astype(float), target[use]
+            weight = np.where(t > 0, 0.5 / max(1, t.sum()), 0.5 / max(1, (1 - t).sum())) * len(t)
+            w = views[v].weights
+            for _ in range(steps):
+                p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+                penalty = np.array([10.0] * (len(w) - 1) + [1e-6])
+                w = w + np.linalg.solve(a.T @ (a * (weight * p * (1 - p))[:, None]) + np.diag(penalty), a.T @ (weight * (t - p)) - penalty * w)
+            views[v] = cotraining.View(views[v].mean, views[v].scale, w)
+        calibrate()
+    judge = cotraining.Judge((views[0], views[1]), float(y[~free].mean()))
+    own = [np.stack([f for f in fs]) for fs in zip(*[(cotraining.text_view(t), cotraining.metadata_view(t, lang, source, cotraining.Names(*names))) for _, t, lang, source in rows])]
+    return [(r[0], *(float(p) for p in scores)) for r, scores in zip(rows, zip(*judge.scores(*own)))]
+
+
+def test_quality_against_plain(spark, docs):
+    """With copies, null ids and texts, one id with two texts, contradicting labels and rare sources."""
+    import random
+
+    rng = random.Random(21)
+    words = {True: ["fine", "plain", "words", "story", "river"], False: ["$$$", "buy", "###", "click", "now"]}
+    rows = []
+    for i in range(700):
+        good = rng.random() < 0.6
+        body = " ".join(rng.choice(words[good if rng.random() < 0.85 else not good]) for _ in range(rng.randrange(3, 60)))
+        rows.append((i, body, rng.choice(["en", None, "de"]), rng.choice(["web", "news", f"rare{i}"]) if good else rng.choice(["spam", "web", None])))
+    rows += [rows[3]] * 40 + [(None, rows[4][1], "en", "web"), (None, None, None, None), (5, "another text of one id", "en", "news"), (701, "", "en", "web")]
+    labels = [(i, int("$" not in rows[i][1][:20])) for i in range(0, 300)] + [(7, 0), (7, 1), (None, 1), (9_999, 1), (8, None)]
+    told = spark.createDataFrame(labels, "doc_id long, quality int")
+    df = docs(rows, extra=True)
+    for rounds in (0, 3):
+        want = sorted(plain_judge(spark, rows, labels, rounds, 0.05, 0.8), key=repr)
+        for table in (df, df.repartition(7)):
+            got = sorted(((r.doc_id, r.text_score, r.meta_score, r.score) for r in cotraining.quality_scores(table, told, rounds=rounds, share=0.05, sure=0.8).collect()), key=repr)
+            assert [g[0] for g in got] == [w[0] for w in want]
+            key = lambda r: (str(r[0]), *(round(v, 5) for v in r[1:]))
+            assert np.allclose([g[1:] for g in sorted(got, key=key)], [w[1:] for w in sorted(want, key=key)], atol=1e-6)
+
+
+def test_pseudo_labels_follow_the_corpus():
+    counts = np.zeros(cotraining.BINS, np.int64)
+    counts[-900:] = 10
+    counts[:900] = 10
+    for scale in (1, 1000):
+        high, low = cotraining.surest(counts * scale, 0.01, 0.97)
+        assert cotraining.BINS - high == low + 1 == 18  # 1 % of 1,800 full bins, however full
+    counts[-1] = 10 ** 9
+    assert cotraining.surest(counts, 0.0001, 0.97)[0] == cotraining.BINS - 1
+    assert cotraining.surest(counts * 0, 0.01, 0.97) == (cotraining.BINS, -1)
+
+
 def test_labels_of_other_documents_use_up_nothing(spark, docs):
     rows = [(i, ("fine words here " if i % 2 else "$$$ ### %%% ") * (5 + i % 7), "en", f"s{i % 3}") for i in range(100)]
     stage = cotraining.features(docs(rows), "doc_id", "text", "lang", "source")
