@@ -27,20 +27,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each near-duplicate group stays, repeated rows too.
 
     Five-word shingles, similarity 0.8 or more.  Rows are matched by id and
-    text, so rows that share an id but not a text are told apart.
+    text, so rows that share an id but not a text are told apart; of rows that
+    differ in other columns only, the least in those stays.
     """
     ship_package(spark)
-    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept").select(
-        F.struct("doc_id", "text_key").alias("_kept")).distinct()
-    named = docs.withColumn("_text_key", F.md5(F.coalesce("text", F.lit(""))))
-    same = named["doc_id"].eqNullSafe(F.col("_kept.doc_id")) & (named["_text_key"] == F.col("_kept.text_key"))
-    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id", "text_key").distinct()
+    # The input is one struct column meanwhile, so that its names don't matter.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("key"))
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"])
+    first = F.min(F.struct(*[f"row.`{c}`" for c in sorted(docs.columns, key=lambda c: c == "text")])).alias("row")
+    one = rows.join(kept, same, "left_semi").groupBy("id", "key").agg(first)
+    return one.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go, however short the item is."""
     ship_package(spark)
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), anywhere=True)
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
