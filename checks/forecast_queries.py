@@ -12,7 +12,7 @@ from stockloom.operators import semi_in
 from stockloom.plans import forecast as fc
 from stockloom.plans.forecast.run import create_fact, deseasonalised
 from stockloom.plans.forecast.seasonal import smoothing_weights
-from stockloom.session import materialise
+from stockloom.session import materialise, stage_path
 from stockloom.spec import SeriesSpec
 
 DAILY = SeriesSpec("dt", ("p_brand",), "qty", "day", 2)
@@ -576,6 +576,22 @@ def _adjusted_sql() -> str:
         one_forecast, actual, p_brand, p_type FROM fact WHERE NOT ({own})"""
 
 
+def _state(i: Inputs):
+    """The state before the last date of the history, written, and that date's rows."""
+    last = i.history.agg(F.max("dt").alias("dt"))
+    before = fc.series_state(i.history.join(last, "dt", "left_anti"), SPEC).write(stage_path(i.spark, "state"))
+    return before, i.history.join(last, "dt", "left_semi")
+
+
+def _period(i: Inputs):
+    return fc.run_period(_earlier(i), *_state(i), i.cal, SPEC, AS_OF)[0]
+
+
+def _advanced(i: Inputs):
+    series = fc.advance(*_state(i), SPEC).series
+    return series.select("agg_level", F.size("entries").alias("series"), F.explode("entries").alias("e")).select("*", "e.*")
+
+
 def _earlier(i: Inputs):
     """The fact as it stood before the current period."""
     return i.fact.filter(F.col("snpsht") < F.lit(AS_OF))
@@ -711,4 +727,10 @@ QUERIES = [
           lambda i: fc.run_incremental(_earlier(i), i.history, i.cal, SPEC, AS_OF), FULL_FACT,
           f"""SELECT * FROM fact WHERE snpsht < {lit(AS_OF)} UNION ALL BY NAME {applied_sql('fresh')}""",
           ("history", "cal", "fact"), PERIOD_CTES),
+    Query("f12_run_period", _period, FULL_FACT,
+          f"""SELECT * FROM fact WHERE snpsht < {lit(AS_OF)} UNION ALL BY NAME {applied_sql('fresh')}""",
+          ("history", "cal", "fact"), PERIOD_CTES),
+    Query("f12_series_state", _advanced, "agg_level:s, dt:d, value:f, series:i", """SELECT agg_level, dt, value,
+          COUNT(*) OVER (PARTITION BY agg_level) AS series FROM keyed JOIN starts USING (agg_level) WHERE dt >= start_dt""",
+          ("history",), history_ctes(SPEC)[:2]),
 ]

@@ -29,6 +29,7 @@ from stockloom.plans.forecast.smoothing import (
     exp_smooth_fit,
     forecast23,
 )
+from stockloom.plans.forecast.state import SeriesState, advance, run_period, series_state
 from stockloom.plans.forecast.year_match import (
     cap_growth,
     forecast1,
@@ -44,14 +45,14 @@ from stockloom.plans.forecast.year_match import (
 )
 
 __all__ = [
-    "apply_forecast23", "apply_rules", "apply_selection", "bandit_selection",
+    "SeriesState", "advance", "apply_forecast23", "apply_rules", "apply_selection", "bandit_selection",
     "cap_growth", "choice_outcomes", "densify_history", "deseasonalise", "error_report",
     "exp_smooth_fit", "external_forecast", "forecast1",
     "forecast1_incremental", "forecast23", "forecast_periods",
     "forecast_samples", "percent_adjust", "prepare_series", "reactive_adjust",
     "rolling_error_stats", "rules_selection", "run_forecast",
-    "run_incremental", "seasonal_calendar", "seasonality",
-    "selection_base", "similarity_weights", "smooth_seasonality",
+    "run_incremental", "run_period", "seasonal_calendar", "seasonality",
+    "selection_base", "series_state", "similarity_weights", "smooth_seasonality",
     "smoothing_calendar", "snapshot_periods", "snapshot_samples",
     "staged_forecast1",
     "value_report", "with_targets", "year_comparison",
