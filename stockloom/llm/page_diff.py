@@ -1,18 +1,21 @@
-"""Main text of web pages by differencing with the page of the nearest URL.
+"""Main text of web pages by differencing with the pages of the nearest URLs.
 
-Pages are cut into block lines.  Each page is paired with its neighbour in URL
-path order within its host, lines are aligned by a longest common subsequence,
-and shared lines go: what two pages of one template repeat is not their text.
+Pages are cut into block lines, menus, headers, footers and adverts among them.
+Each page is paired with its neighbours in URL path order within its host, lines
+are aligned by a longest common subsequence, and shared lines go: what two pages
+of one template repeat is not their text.
 
 Every page is compared with its mate, the nearest page of its host whose text is
 neither the same nor nearly the same.  Pages of equal lines are compared once,
 and runs of near copies are passed over.  What travels for this are hashes and
 lengths of lines; texts are shuffled once, to what is gone from them.
 
-The page's own structure is evidence beside it.  Navigation, headers, footers,
-asides, scripts, styles and blocks whose class, id or role says advert, sidebar,
-notice, comment or the like never become lines, unless such a block (or a form)
-wraps the page's text.  Where one article (or without articles the main part)
+The page's own structure decides what differencing leaves open.  Lines of
+navigation, headers, footers, asides and blocks whose class, id or role says
+advert, sidebar, notice, comment or the like go even if no mate shares them, unless
+such a block (or a form) wraps the page's text; for these lines every neighbour
+counts, not the nearest alone.  Scripts, styles and other parts that are no text never become lines.
+Where one article (or without articles the main part)
 holds most of a page's text, its lines are kept even if the mate shares them;
 all other lines, around it too, are kept unless shared.
 """
@@ -37,8 +40,10 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset(
-    "aside button canvas dialog footer head iframe input menu nav noscript object option script select style svg "
+    "button canvas dialog head iframe input noscript object option script select style svg "
     "template textarea title video audio".split())
+#: Parts around a page's text.
+AROUND = frozenset("aside footer menu nav".split())
 #: Words of a class, id or role that mark a block as something else than text.
 MARKS = frozenset(
     "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments complementary consent "
@@ -50,7 +55,7 @@ _CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 _FENCES = {"ul", "ol", "dl", "table", "select"}
-ELSEWHERE, MAIN, ARTICLE = 0, 1, 2
+MARKED, ELSEWHERE, MAIN, ARTICLE = -1, 0, 1, 2
 #: A mate that shares this share of lines and of characters is nearly a copy.
 NEAR = 0.8
 
@@ -63,15 +68,16 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, int, tuple[int, ...]]] = []  # tag, dropped, place, article, marked blocks around
+        # tag, dropped, around the text, place, article, marked blocks around
+        self.open: list[tuple[str, bool, bool, int, int, tuple[int, ...]]] = []
         self.articles = self.marked = 0
         self.holds_main: set[int] = set()  # marked blocks
         self.count: dict[str, int] = {}
         self.buffer: list[str] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, bool, int, int, tuple[int, ...]]] = []
 
-    def _state(self) -> tuple[bool, int, int, tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, ELSEWHERE, 0, ())
+    def _state(self) -> tuple[bool, bool, int, int, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, False, ELSEWHERE, 0, ())
 
     def _end_line(self) -> None:
         if self.buffer:
@@ -104,25 +110,26 @@ class Lines(HTMLParser):
             self.buffer.append(" ")
         if tag in VOID:
             return
-        dropped, place, article, around = self._state()
+        dropped, beside, place, article, around = self._state()
         if tag == "body":
-            dropped = False
+            dropped = beside = False
         if not dropped and tag not in ("body", "html"):
             own = dict(attrs)
             marks = _WORDS.findall(" ".join(own.get(a) or "" for a in ("class", "id", "role")).lower())
-            dropped = (tag in DROPPED or (tag == "header" and place == ELSEWHERE) or "hidden" in own
-                       or own.get("aria-hidden") == "true")
-            if not dropped and (tag == "form" or not MARKS.isdisjoint(marks)):
+            dropped = tag in DROPPED or "hidden" in own or own.get("aria-hidden") == "true"
+            beside = beside or tag in AROUND or (tag == "header" and place == ELSEWHERE)
+            inside = not dropped and not beside
+            if inside and (tag == "form" or not MARKS.isdisjoint(marks)):
                 self.marked += 1
                 around = (*around, self.marked)
             own_place = {"article": ARTICLE, "main": MAIN}.get(tag, MAIN if own.get("role") == "main" else ELSEWHERE)
-            if not dropped and own_place == MAIN:
+            if inside and own_place == MAIN:
                 self.holds_main.update(around)
-            if own_place == ARTICLE and place < ARTICLE:  # one in another is a part of it
+            if inside and own_place == ARTICLE and place < ARTICLE:  # one in another is a part of it
                 self.articles += 1
                 article = self.articles
-            place = max(place, own_place)
-        self.open.append((tag, dropped, place, article, around))
+            place = max(place, own_place) if inside else place
+        self.open.append((tag, dropped, beside, place, article, around))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -145,11 +152,13 @@ class Lines(HTMLParser):
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
     """Lines with their places; only lines of a dominant article are ARTICLE,
-    and only those of a dominant main part are MAIN."""
+    only those of a dominant main part are MAIN, and those around the text or in
+    marked blocks are MARKED."""
     parser = Lines()
     parser.feed(html or "")
     parser.close()
-    lines = parser.lines
+    every = parser.lines
+    lines = [(t, *rest) for t, beside, *rest in every if not beside]
     total = sum(len(t) for t, *_ in lines)
 
     def most(found: list[tuple[str, int, int, tuple[int, ...]]], whole: int) -> bool:
@@ -178,7 +187,13 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     if chosen is not None and 2 * articles[chosen] < total:
         chosen = None
     main = not articles and most([x for x in lines if x[1] == MAIN], total)
-    return [(t, ARTICLE if place == ARTICLE and n == chosen else MAIN if place == MAIN and main else ELSEWHERE) for t, place, n, _ in lines]
+
+    def of(beside: bool, place: int, n: int, around: tuple[int, ...]) -> int:
+        if beside or not open_blocks.issuperset(around):
+            return MARKED
+        return ARTICLE if place == ARTICLE and n == chosen else MAIN if place == MAIN and main else ELSEWHERE
+
+    return [(t, of(*rest)) for t, *rest in every]
 
 
 def _last_row(a: list[int], b: list[int]) -> np.ndarray:
@@ -232,18 +247,26 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 
 def near_copy(mine: list[int], mine_chars: list[int], mate: list[int], mate_chars: list[int]) -> bool:
-    """Whether two pages share nearly all their lines, both ways."""
-    for a, chars, b in ((mine, mine_chars, set(mate)), (mate, mate_chars, set(mine))):
-        shared = [n for x, n in zip(a, chars) if x in b]
-        if len(shared) < NEAR * len(a) or sum(shared) < NEAR * sum(chars):
+    """Whether two pages share nearly all their lines, both ways; marked lines
+    (negative lengths) don't count, where there are others."""
+    def own(lines: list[int], chars: list[int]) -> list[tuple[int, int]]:
+        return [(x, n) for x, n in zip(lines, chars) if n >= 0] or [(x, -n) for x, n in zip(lines, chars)]
+
+    one, two = own(mine, mine_chars), own(mate, mate_chars)
+    for a, b in ((one, {x for x, _ in two}), (two, {x for x, _ in one})):
+        shared = [n for x, n in a if x in b]
+        if len(shared) < NEAR * len(a) or sum(shared) < NEAR * sum(n for _, n in a):
             return False
     return True
 
 
-def main_text(lines: list[dict], gone: list[int] | None) -> str:
-    """The text of a page given the numbers of its lines that its mate shares."""
+def main_text(lines: list[dict], gone: list[int] | None) -> tuple[str, int, int]:
+    """The text of a page given the numbers of its lines that mates share, and how
+    many lines went for being shared and for where they stand."""
     shared = set(gone or ())
-    return "\n".join(line["text"] for i, line in enumerate(lines) if line["place"] > ELSEWHERE or i not in shared)
+    kept = [line["text"] for i, line in enumerate(lines) if line["place"] > ELSEWHERE or line["place"] == ELSEWHERE and i not in shared]
+    by_mate = sum(line["place"] <= ELSEWHERE and i in shared for i, line in enumerate(lines))
+    return "\n".join(kept), by_mate, len(lines) - len(kept) - by_mate
 
 
 def _hashes(lines: list[tuple[str, int]]) -> list[int]:
@@ -272,8 +295,10 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     def compare(b: pa.RecordBatch) -> dict[str, list]:
         out = []
         for row in b.select(["hashes", "chars", "mates"]).to_pylist():
-            fit = next((m for m in row["mates"] if not near_copy(row["hashes"], row["chars"], m["hashes"], m["chars"])), None)
-            out.append(None if fit is None else common_lines(row["hashes"], fit["hashes"]))
+            fits = [m for m in row["mates"] if not near_copy(row["hashes"], row["chars"], m["hashes"], m["chars"])]
+            gone = [common_lines(row["hashes"], m["hashes"]) for m in fits]
+            # Lines that structure marks go if any neighbour has them, others if the nearest has.
+            out.append(sorted({*gone[0], *(i for g in gone[1:] for i in g if row["chars"][i] < 0)}) if fits else None)
         return {"gone": out}
 
     def tried(todo: DataFrame, left: Column, right: Column, name: str) -> DataFrame:
@@ -296,7 +321,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per row of ``df``: id, url, text, n_chars.
+    """One row per row of ``df``: id, url, text, n_chars, by_mates and by_structure
+    (lines that went for being shared, and for where they stand).
 
     Null html and pages without text give an empty text.  A page whose url is
     null or has no host, or whose host holds nothing but copies and near copies
@@ -307,14 +333,15 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def outline(b: pa.RecordBatch) -> dict[str, list]:
         pages = [page_lines(h) for h in b.column("html").to_pylist()]
         hashes = [*map(_hashes, pages)]
-        return {"digest": [*map(_digest, hashes)], "hashes": hashes, "chars": [[len(t) for t, _ in page] for page in pages]}
+        return {"digest": [*map(_digest, hashes)], "hashes": hashes, "chars": [[-len(t) if p == MARKED else len(t) for t, p in page] for page in pages]}
 
     def parse(b: pa.RecordBatch) -> dict[str, list]:
         pages = [page_lines(h) for h in b.column("html").to_pylist()]
         return {"digest": [_digest(_hashes(page)) for page in pages], "lines": [[{"text": t, "place": p} for t, p in page] for page in pages]}
 
     def difference(b: pa.RecordBatch) -> dict[str, list]:
-        return {"text": [main_text(x, g) for x, g in zip(*(b.column(c).to_pylist() for c in ("lines", "gone")))]}
+        found = [main_text(x, g) for x, g in zip(*(b.column(c).to_pylist() for c in ("lines", "gone")))]
+        return {name: [f[i] for f in found] for i, name in enumerate(("text", "by_mates", "by_structure"))}
 
     raw = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                     F.coalesce(url_host(url_col), F.lit("")).alias("host"))
@@ -322,6 +349,6 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                            "digest binary, hashes array<long>, chars array<int>", drop=("html",))
     pages = with_python(raw, parse, "digest binary, lines array<struct<text: string, place: int>>", drop=("html",))
     paired = pages.join(shared_lines(outlined), ["host", "digest"], "left").drop("host", "digest")
-    texts = with_python(paired, difference, "text string", drop=("lines", "gone"))
+    texts = with_python(paired, difference, "text string, by_mates int, by_structure int", drop=("lines", "gone"))
     return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
-                        F.char_length("text").cast("long").alias("n_chars"))
+                        F.char_length("text").cast("long").alias("n_chars"), "by_mates", "by_structure")

@@ -67,6 +67,34 @@ def test_structure_is_evidence_only(spark):
         assert got[20 + n] == told(n) and got[30 + n] == told(n)
 
 
+def test_boilerplate_of_a_template_goes_by_its_mates(spark):
+    """Menus, adverts and footers that a template repeats are found by differencing;
+    structure is left with what only one page has."""
+    def page(n, body):
+        menu = "".join(f"<li>{x}" for x in ("Home", "Shop", f"Only {n}"))
+        return (f"<body><nav><ul>{menu}</ul></nav><div class=ad>Buy now</div>{body}<aside><p>Side</p></aside>"
+                f"<footer>Shop Ltd</footer></body>")
+
+    rows = [(n, f"http://a/{n}", page(n, f"<article><p>Story {n} in its own words and more</p></article>")) for n in range(1, 7)]
+    rows += [(10 + n, f"http://b/{n}", page(n, f"<p>Words {n} without any article</p>")) for n in range(1, 7)]
+    rows += [(20, "http://c/1", page(1, "<p>No mate of this page at all</p>"))]
+    got = {r.page_id: r for r in extract_text(pages(spark, rows)).collect()}
+    for n in range(1, 7):
+        assert got[n].text == f"Story {n} in its own words and more" and got[10 + n].text == f"Words {n} without any article"
+        assert (got[n].by_mates, got[n].by_structure) == (got[10 + n].by_mates, got[10 + n].by_structure) == (5, 1)
+    assert (got[20].text, got[20].by_mates, got[20].by_structure) == ("No mate of this page at all", 0, 6)
+
+
+def test_menus_that_vary_go_if_any_neighbour_has_them(spark):
+    def page(menu, text):
+        return f"<body><nav>{menu}</nav><p>{text}</p></body>"
+
+    rows = [(1, "http://a/1", page("odd", "one text")), (2, "http://a/2", page("even", "two text")), (3, "http://a/33", page("even", "three text"))]
+    got = {r.page_id: (r.text, r.by_mates) for r in extract_text(pages(spark, rows)).collect()}
+    assert got[2] == ("two text", 1)  # the nearest page has the other menu
+    assert got[1] == ("one text", 0) and got[3] == ("three text", 1)
+
+
 def test_mates_are_different_pages(spark):
     """Copies and near copies are passed over, and whole paths are compared."""
     def page(*lines):
@@ -106,7 +134,9 @@ def test_given_pages(spark):
     import html as entities
 
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    found = extract_text(df).collect()
+    got = {r.page_id: r.text for r in found}
+    assert sum(r.by_mates for r in found) > 0  # the given menus change from page to page: most of their lines are on no neighbour
     for r in df.collect():
         article = re.search("<article>(.*?)</article>", r.html, re.S)[1]
         blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
