@@ -22,6 +22,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, islice
 
 import numpy as np
@@ -38,7 +39,7 @@ BODY = struct.Struct("<?qB")
 MASK_DELTA = 0xA282EAD8
 #: Bytes of encoded units that a worker keeps, with about what an entry takes besides
 #: its characters; longer units are encoded each time.
-CACHE_BYTES, ENTRY_BYTES, UNIT_CHARS = 96 << 20, 150, 64
+CACHE_BYTES, ENTRY_BYTES, UNIT_CHARS = 40 << 20, 150, 64
 #: Marks that end a word and are a piece of their own there.
 MARKS = ".,;:!?)"
 #: White space by anyone's definition; a space beside it is no safe place to cut.
@@ -94,9 +95,9 @@ class Encoder:
     def __init__(self, path: str, pattern: str, added: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
+        self.path = path
         self.model = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()] if added else []
         self.model.encode_special_tokens = True
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
@@ -106,6 +107,13 @@ class Encoder:
         self.units: dict[str, bytes] = {}
         self.held = self.missed = 0
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as its file gives it; few texts need it, so it is read then."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _ids(self, pieces: list[str], before: str = "") -> dict[str, bytes]:
         if not pieces:
             return {}
