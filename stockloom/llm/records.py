@@ -37,8 +37,8 @@ from stockloom.session import stage_path
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<?qB")
 MASK_DELTA = 0xA282EAD8
-#: Bytes of encoded units that a worker keeps, with about what an entry takes besides
-#: its characters; longer units are encoded each time.
+#: Bytes of encoded units that a worker keeps by default, with about what an entry takes
+#: besides its characters; longer units are encoded each time.
 CACHE_BYTES, ENTRY_BYTES, UNIT_CHARS = 40 << 20, 150, 64
 #: Marks that end a word and are a piece of their own there.
 MARKS = ".,;:!?)"
@@ -92,10 +92,10 @@ class Encoder:
     whole.  Without, such strings are ordinary text.
     """
 
-    def __init__(self, path: str, pattern: str, added: bool = False):
+    def __init__(self, path: str, pattern: str, added: bool = False, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.path = path
+        self.path, self.cache_bytes = path, cache_bytes
         self.model = Tokenizer.from_file(path)
         self.added = [t.content for t in self.model.get_added_tokens_decoder().values()] if added else []
         self.model.encode_special_tokens = True
@@ -148,7 +148,7 @@ class Encoder:
         return new
 
     def _keep(self, new: dict[str, bytes]) -> None:
-        if self.held < CACHE_BYTES:
+        if self.held < self.cache_bytes:
             kept = {u: ids for u, ids in new.items() if len(u) <= UNIT_CHARS}
             self.units.update(kept)
             self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
@@ -177,19 +177,20 @@ class Encoder:
         return [np.frombuffer(b"".join([h, *map(ids_of, islice(us, 1, None))]), f"<u{self.width}") for h, us in zip(heads, cuts)]
 
 
-_encoders: dict[tuple[str, str, bool], Encoder] = {}
+_encoders: dict[tuple[str, str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, pattern: str, added: bool = False) -> Encoder:
+def encoder(*settings) -> Encoder:
     """One per worker process, kept between tasks."""
-    if (path, pattern, added) not in _encoders:
-        _encoders[path, pattern, added] = Encoder(path, pattern, added)
-    return _encoders[path, pattern, added]
+    if settings not in _encoders:
+        _encoders.clear()  # a worker keeps one table
+        _encoders[settings] = Encoder(*settings)
+    return _encoders[settings]
 
 
 def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int,
                   id_col: str = "doc_id", text_col: str = "text", batch: int = 256,
-                  file_bytes: int = 1 << 26, added: bool = False) -> None:
+                  file_bytes: int = 1 << 26, added: bool = False, cache_bytes: int = CACHE_BYTES) -> None:
     """Writes every row's token ids, ended by ``end_id``, in ascending id order.
 
     A null text is empty; null ids come first; rows of one id follow each other
@@ -197,11 +198,12 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     repeated rows included, over as many files as they need.  Files are as many
     as keep ``file_bytes`` of text in each on average.  Other columns are not
     written.  ``df`` must be read from files, so that a task that is run again
-    numbers its rows alike.  ``added`` as in ``Encoder``.
+    numbers its rows alike.  ``added`` as in ``Encoder``; a worker's table of
+    units takes about ``cache_bytes``, and the more it holds the less is encoded again.
     ``tokenizer`` must be readable under that name on every executor.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(tokenizer, pattern, added)
+        coder = encoder(tokenizer, pattern, added, cache_bytes)
         end = np.array([end_id], f"<u{coder.width}")
         for b in batches:
             for at in range(0, len(b), batch):
@@ -248,7 +250,8 @@ def record_index(spark, path: str, end_id: int | None = None) -> DataFrame:
 
 
 def token_records(df: DataFrame, tokenizer: str, pattern: str, end_id: int,
-                  id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", added: bool = False,
+                  cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Writes records and index to the shared folder and reads them back.
 
     One row per record: id, start (ids in all records before it), n_tokens,
@@ -258,7 +261,7 @@ def token_records(df: DataFrame, tokenizer: str, pattern: str, end_id: int,
 
     spark = df.sparkSession
     path, index_path = stage_path(spark, "records"), stage_path(spark, "records-index")
-    write_records(df, path, tokenizer, pattern, end_id, id_col, text_col, added=added)
+    write_records(df, path, tokenizer, pattern, end_id, id_col, text_col, added=added, cache_bytes=cache_bytes)
     record_index(spark, path).write.mode("overwrite").parquet(index_path)
     index = spark.read.parquet(index_path)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
