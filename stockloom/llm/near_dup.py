@@ -11,9 +11,12 @@ that share a band are compared exactly.
 Equal sets are one class from the start, so copies never multiply.  Within a
 band's bucket every class is first compared with the bucket's smallest class
 only.  Where a bucket still spans several components after that, the classes
-outside the largest component are compared, block by block, with every class of
-the other components, so no link between two components that share a band is
-lost.
+that share one of their rarest shingles with a class of another component go on:
+two sets as similar as asked must meet among so many of either's rarest shingles
+(the prefix filter), in whatever order all sets agree on.  Of these, those outside
+the largest component are compared, block by block, with every class of the other
+components, so no link between two components that share a band is lost, and a
+giant group of sets that have only their common part in common costs no comparison.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from stockloom.session import materialise
 BANDS, ROWS = 64, 8
 #: Bytes of shingle hashes in a block of sets that one task compares.
 BLOCK_BYTES = 1 << 20
+#: Cells in which the occurrences of shingles are counted, to call some of them rare.
+CELLS = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BALLS = 4096
 
@@ -159,6 +164,52 @@ def _compare_blocks(percent: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.D
     return run
 
 
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _cell_counts(sets: DataFrame) -> np.ndarray:
+    """Occurrences of shingles by the low bits of their hashes: CELLS numbers, at any size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for grams in b.column("grams"):
+                n += np.bincount(_cells(np.frombuffer(grams.as_buffer(), np.uint64)), minlength=CELLS)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["cell", "n"])
+
+    found = sets.select("grams").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(CELLS, np.int64)
+    counts[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def _rare_buckets(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Buckets (band, node, comp) of the nodes of ``rest`` by rare shingles; ``band`` is the shingle.
+
+    A set of n shingles is in the buckets of its n - ceil(n * percent / 100) + 1 rarest ones, so two
+    sets that are similar enough share one.  Any order that all sets agree on is right; the
+    counts of the shingles' cells make it a good one: what a large group shares comes last.
+    Buckets of one component are left out.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(_cell_counts(sets))  # CELLS numbers, 2 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rare = []
+            for grams in b.column("grams"):
+                x = np.frombuffer(grams.as_buffer(), np.uint64)
+                order = np.lexsort((x, counts.value[_cells(x)]))
+                rare.append(x[order[:len(x) + percent * len(x) // -100 + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(rare, pa.list_(pa.int64()))], ["node", "rare"])
+
+    nodes = rest.select("node", "comp").distinct()
+    rare = sets.join(nodes, "node", "left_semi").select("node", "grams").mapInArrow(run, "node long, rare array<long>")
+    placed = materialise(rare.join(nodes, "node").select(F.explode("rare").alias("band"), "node", "comp"), "near-dup-rare")
+    split = placed.groupBy("band").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one < other")
+    return materialise(placed.join(split.select("band"), "band"), "near-dup-rare-buckets")
+
+
 def _between_components(rest: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that share a bucket (band, node, comp).
 
@@ -241,7 +292,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     split = placed.groupBy("band").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one < other")
     rest = materialise(placed.join(split.select("band"), "band"), "near-dup-rest")
     if not rest.isEmpty():
-        clusters = components(first, "near-dup-cluster").withColumnRenamed("comp", "cluster")
+        rest = _rare_buckets(rest, sets, percent)
+        low = rest.groupBy("band").agg(F.min("node").alias("low"))
+        met = rest.join(low, "band").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+        clusters = components(met, "near-dup-cluster").withColumnRenamed("comp", "cluster")
         more = materialise(_between_components(rest, clusters, sets, percent), "near-dup-more")
         found = components(links.union(more))
 

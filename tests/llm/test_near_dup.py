@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from stockloom.llm.near_dup import band_keys, components, fast_sketch, near_duplicates, shingle_hashes
+from stockloom.llm.near_dup import _rare_buckets, band_keys, components, fast_sketch, near_duplicates, shingle_hashes
 
 
 def shingles(text, size):
@@ -65,6 +65,34 @@ def test_crowded_buckets(spark, docs):
     same(docs(rows), rows)
 
 
+def test_rare_buckets(spark):
+    """Sets that share a common part only meet nowhere; similar ones of two components do."""
+    rng = np.random.default_rng(4)
+    part = rng.integers(0, 2**63, 400).astype(np.uint64)
+    sets = [np.concatenate([part, rng.integers(0, 2**63, 100).astype(np.uint64)]) for _ in range(300)]
+    sets.append(np.concatenate([sets[7][:-30], rng.integers(0, 2**63, 30).astype(np.uint64)]))  # 470 of 530: 88 %
+    sets = [np.unique(x) for x in sets]
+    frame = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node long, grams binary")
+    rest = spark.createDataFrame([(b, i, i) for i in range(len(sets)) for b in (1, 2)], "band long, node long, comp long")
+    assert {r.node for r in _rare_buckets(rest, frame, 85).collect()} == {7, 300}
+    one = spark.createDataFrame([(1, i, i % 300 if i < 300 else 7) for i in range(len(sets))], "band long, node long, comp long")
+    assert _rare_buckets(one, frame, 85).isEmpty()
+
+
+def test_common_part_with_near_copies(spark, docs):
+    """A large group with a common part, in which few texts are near copies of others."""
+    rng = random.Random(5)
+    part = [f"p{i}" for i in range(260)]
+    rows = []
+    for i in range(70):
+        own = [f"o{i}_{j}" for j in range(26)]
+        rows.append((i, " ".join(part + own)))
+        if i % 9 == 0:
+            rows.append((1000 + i, " ".join(altered(rng, part + own, 3))))
+    same(docs(rows), rows)
+    same(docs(rows), rows, size=5, percent=80)
+
+
 def test_edge_cases(spark, docs):
     rows = [(5, None), (4, ""), (3, " \t\n"), (2, "One"), (1, "one"), (8, "one two"), (9, "ONE  two"), (9, "ONE  two"),
             (None, "one two"), (7, "É é"), (6, "é É"), (10, "x y z " * 5000), (11, "x y z " * 4000), (12, None)]
