@@ -242,3 +242,61 @@ def test_typed_load_rejects_bad_rows(spark):
     spark.createDataFrame([("1",), ("x",)], "a string").write.option("header", True).csv(path)
     with pytest.raises(Exception):
         src.load_csv_typed(spark, path, "a INT").collect()
+
+
+def test_market_overrides_are_those_of_the_whole_grid(spark):
+    """Same rows and totals as the override of prices already spread to stores:
+    overlapping overrides, own and shared stores, NULLs, repeated rows."""
+    rng = random.Random(9)
+    some = lambda *v: rng.choice(v)
+    prices = [(some(None, 1, 2, 3, 4), some(None, 7, 8, 9), n, some(None, 1.5, 20.0, 40.0)) for n in range(60)]
+    prices += prices[:9]
+    shops = [(some(7, 8, None), n) for n in range(30)] + [(7, None), (7, 3), (8, 3), (8, 3)]
+    day, far = dt.date(2001, 11, 11), dt.date(2001, 12, 1)
+    rules = [(sku, shop, kind, 12.0, 18.0, 30.0, day, end) for sku, shop, kind, end in (
+        (1, 3, 1, far), (1, 3, 2, far), (1, 4, 3, far), (2, 5, 2, far), (2, None, 3, far), (3, 6, 1, far),
+        (4, 7, 1, dt.date(2001, 11, 10)), (None, 8, 1, far))]
+    df = spark.createDataFrame(prices, "sku long, mkt int, n int, q double")
+    stores = spark.createDataFrame(shops, "mkt int, loc long")
+    overrides = spark.createDataFrame(rules, "sku long, str long, ovrd_type int, ovrd_qty double, min_ovrd_qty double, "
+                                             "max_ovrd_qty double, beg_dt date, end_dt date")
+    names = ["sku", "mkt", "loc", "n", "q"]
+    want = op.two_grain_override(df.join(stores, "mkt").select(names), overrides, "sku", "loc", "q", day)
+    got = op.market_override(df, stores, overrides, "sku", "mkt", "loc", "q", day)
+    rows = lambda d, *c: sorted(map(repr, d.select(*c).collect()))
+    assert rows(got, *names) == rows(want, *names)
+
+
+def test_market_overrides_are_worked_out_before_the_grid(spark, tmp_path, monkeypatch):
+    """Few rows meet the overrides, though every price comes out once a store."""
+    from checks import basic_queries
+    from checks.inputs import Inputs
+    from stockloom.operators import joins
+
+    lines = spark.range(4000).selectExpr(
+        "id l_orderkey", "id % 300 l_partkey", "id % 100 l_suppkey", "cast(1 + id % 7 as int) l_linenumber",
+        "cast(id % 50 as double) l_quantity", "0.1D l_discount", "timestamp_seconds(900000000 + 86400 * (id % 500)) l_shipdate")
+    suppliers = spark.range(100).selectExpr("id s_suppkey", "cast(id % 4 as int) s_nationkey")
+    for name, rows in (("lineitem", lines), ("supplier", suppliers), ("part", spark.range(300).selectExpr("id p_partkey", "'n' p_name"))):
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, plain = [], joins.two_grain_override
+
+    def counted(df, *args):
+        seen.append(df.count())
+        return plain(df, *args)
+
+    monkeypatch.setattr(joins, "two_grain_override", counted)
+    monkeypatch.setattr(op, "two_grain_override", counted)
+    queries = {q.name: q for q in basic_queries.QUERIES}
+    inputs = Inputs(spark, str(tmp_path))
+    grid = queries["p7_override_value"].run(inputs).count()
+    assert 0 < sum(seen) < grid / 2
+
+
+def test_whole_numbers_are_rounded_like_others(spark):
+    from checks.registry import _spark_column
+
+    values = [None, 0.0, -0.0, 3.0, -7.0, 2.5, 0.1234565, -0.0000004, 1e300, 2.0**53 + 2, float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    old = F.when(F.round("x", 6) == 0, F.lit(0.0)).otherwise(F.round("x", 6))
+    assert list(map(repr, df.select(_spark_column("x", "f")).collect())) == list(map(repr, df.select(old.alias("x")).collect()))
