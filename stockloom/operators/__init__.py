@@ -29,6 +29,7 @@ from stockloom.operators.joins import (
     latest_version,
     left_default,
     market_override,
+    market_override_totals,
     previous_period_join,
     range_join,
     rolling_reference,
@@ -65,7 +66,7 @@ __all__ = [
     "contains_any", "count_over", "cross_grid", "current_period", "date_array",
     "dedup_all", "distinct_count", "distinct_rows", "effective_at", "group_agg",
     "having", "inner_equi", "latest_version", "leave_one_out_mean",
-    "left_default", "market_override", "max_over", "neighbours",
+    "left_default", "market_override", "market_override_totals", "max_over", "neighbours",
     "next_h_array", "normal_sales",
     "ordered_array", "partition_percentile", "period_rank", "pivot_sum",
     "previous_period_join", "range_join", "report_order", "rolling_reference",

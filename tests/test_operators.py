@@ -265,6 +265,9 @@ def test_market_overrides_are_those_of_the_whole_grid(spark):
     got = op.market_override(df, stores, overrides, "sku", "mkt", "loc", "q", day)
     rows = lambda d, *c: sorted(map(repr, d.select(*c).collect()))
     assert rows(got, *names) == rows(want, *names)
+    totals = want.groupBy("sku", "loc").agg(F.count("*").alias("c"), F.sum("q").alias("t"))
+    summed = op.market_override_totals(df, stores, overrides, "sku", "mkt", "loc", "q", day, "c", "t")
+    assert rows(summed, "sku", "loc", "c", "t") == rows(totals, "sku", "loc", "c", "t")
 
 
 def test_market_overrides_are_worked_out_before_the_grid(spark, tmp_path, monkeypatch):
@@ -291,6 +294,10 @@ def test_market_overrides_are_worked_out_before_the_grid(spark, tmp_path, monkey
     inputs = Inputs(spark, str(tmp_path))
     grid = queries["p7_override_value"].run(inputs).count()
     assert 0 < sum(seen) < grid / 2
+    seen.clear()
+    totals = queries["j14_two_grain_override"].run(inputs)
+    assert totals.agg(F.sum("n")).first()[0] == grid
+    assert 0 < sum(seen) < grid / 8
 
 
 def test_whole_numbers_are_rounded_like_others(spark):
