@@ -25,8 +25,14 @@ from stockloom.session import materialise
 
 def join_back(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Columns of ``side`` attached to the rows of the same key; NULL is a key
-    like any other, as it is in a window."""
-    named = side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    like any other, as it is in a window.
+
+    ``side`` has about one row per key and is written, so that its true size is
+    known when the join is planned: that of a few hot keys goes to the rows,
+    which are not shuffled by them; only a large one, of many keys, is sorted.
+    """
+    renamed = side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    named = materialise(renamed, "per-key")
     same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     return df.join(named, reduce(lambda a, b: a & b, same, F.lit(True)), how).drop(*[f"_key_{k}" for k in keys])
 

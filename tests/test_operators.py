@@ -300,6 +300,17 @@ def test_market_overrides_are_worked_out_before_the_grid(spark, tmp_path, monkey
     assert 0 < sum(seen) < grid / 8
 
 
+def test_a_hot_key_stays_where_its_rows_are(spark, tmp_path):
+    """Four keys' limits come to the rows: no task reads a key's rows whole."""
+    path = f"{tmp_path}/rows"
+    spark.range(4000).selectExpr("nullif(id % 4, 3) k", "id", "double(id % 997) x").write.parquet(path)
+    rows = spark.read.parquet(path)
+    for done in (op.clip_percentile(rows, ["k"], "x", 0.01, 0.99, "v"), op.share_of_total(rows, ["k"], "x", "v")):
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert done.count() == 4000
+
+
 def test_whole_numbers_are_rounded_like_others(spark):
     from checks.registry import _spark_column
 
