@@ -23,7 +23,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -167,14 +167,15 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         cuts = [_SAFE.split(t) if crowded(t) else t.split(" ") for t in texts]
         heads = self._cut([us[0] for us in cuts])  # a first unit follows no space
-        here = dict.fromkeys(chain.from_iterable(islice(us, 1, None) for us in cuts))
         get = self.units.get
-        here = dict(zip(here, map(get, here)))
-        missing = [u for u, ids in here.items() if ids is None]
+        found = [[h, *map(get, islice(us, 1, None))] for h, us in zip(heads, cuts)]
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        missing = dict.fromkeys(u for i in gaps for u, ids in zip(cuts[i], found[i]) if ids is None)
         if missing:
-            here.update(self._learn(missing))
-        ids_of = here.__getitem__
-        return [np.frombuffer(b"".join([h, *map(ids_of, islice(us, 1, None))]), f"<u{self.width}") for h, us in zip(heads, cuts)]
+            new = self._learn(list(missing))
+            for i in gaps:
+                found[i] = [new[u] if ids is None else ids for u, ids in zip(cuts[i], found[i])]
+        return [np.frombuffer(b"".join(ids), f"<u{self.width}") for ids in found]
 
 
 _encoders: dict[tuple[str, str, bool, int], Encoder] = {}

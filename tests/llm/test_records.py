@@ -33,6 +33,20 @@ def test_encoder_equals_the_library(tokenizer):
             assert got.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_units_known_and_new_side_by_side(tokenizer):
+    """Texts of known units, of new ones and of both, through a table that is emptied in between."""
+    rng = random.Random(5)
+    coder = Encoder(*tokenizer_files(), cache_bytes=2000)
+    emptied = 0
+    for n in range(60):
+        texts = [" ".join(rng.choices(["it", "Same", "word,", "", f"n{n}x", f"w{'abc'[n % 3] * (n // 3)}.", "漢"], k=rng.randrange(6))) for _ in range(20)]
+        held = len(coder.units)
+        for t, ids in zip(texts, coder.encode(texts)):
+            assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+        emptied += len(coder.units) < held
+    assert emptied
+
+
 def test_frames_detect_damage():
     data = frame(7, np.array([1, 50256]), 2) + b"\n" + frame(None, np.array([2]), 4) + b"\n"
     doc_id, ids, at = read_frame(data)
