@@ -23,10 +23,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +43,25 @@ MASK_DELTA = 0xA282EAD8
 CACHE_BYTES, ENTRY_BYTES, UNIT_CHARS = 40 << 20, 150, 64
 #: Marks that end a word and are a piece of their own there.
 MARKS = ".,;:!?)"
+#: The characters that stand for the 256 bytes in a byte-level vocabulary: printable ones stay.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARS = {b: chr(b if b in _PRINTED else 256 + sum(c not in _PRINTED for c in range(b))) for b in range(256)}
 #: White space by anyone's definition; a space beside it is no safe place to cut.
 BLANKS = "".join(c for c in map(chr, range(0x10000)) if c.isspace()) + "\u180e"
 _SAFE = re.compile(f"(?<![{BLANKS}]) (?![{BLANKS}])")
+#: A space beside another white space character.
+_CROWDED = f" [{BLANKS}]|[{BLANKS}] "
 
 
-def crowded(text: str) -> bool:
-    """Whether a space stands beside another white space character."""
-    return any(c in text and (c + " " in text or " " + c in text) for c in BLANKS)
+def cut_at_spaces(texts: pa.Array) -> pa.Array:
+    """The lists of units between the safe spaces of each text."""
+    crowded = pc.match_substring_regex(texts, _CROWDED).to_numpy(zero_copy_only=False)
+    if not crowded.any():
+        return pc.split_pattern(texts, " ")
+    plain = pc.split_pattern(texts.filter(pa.array(~crowded)), " ")
+    other = pa.array([_SAFE.split(t) for t in texts.filter(pa.array(crowded)).to_pylist()], plain.type)
+    at = np.where(crowded, len(plain) + np.cumsum(crowded) - 1, np.cumsum(~crowded) - 1)
+    return pa.concat_arrays([plain, other]).take(pa.array(at))
 
 
 def masked_crc(data: bytes) -> int:
@@ -85,7 +97,9 @@ class Encoder:
     itself.  A single space between two characters that aren't white space always
     begins a piece, so texts are cut there, and units met before come from a
     table bounded in bytes.  A new unit that is a word, or a word and a
-    mark at its end, needs no pattern: these are its pieces.
+    mark at its end, needs no pattern: these are its pieces.  Arrow cuts the
+    texts, numbers the units and puts their ids together, so that Python sees
+    each unit once per call, however often it stands in the texts.
 
     With ``added`` a string of an added token in a text is that token, as the
     library has it by default: texts that hold such a string go to the library
@@ -93,14 +107,13 @@ class Encoder:
     """
 
     def __init__(self, path: str, pattern: str, added: bool = False, cache_bytes: int = CACHE_BYTES):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.path, self.cache_bytes = path, cache_bytes
-        self.model = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()] if added else []
-        self.model.encode_special_tokens = True
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
+        library = Tokenizer.from_file(path)
+        self.added = [t.content for t in library.get_added_tokens_decoder().values()] if added else []
+        self.tokenize, self.normalizer = library.model.tokenize, library.normalizer
+        self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
         self.pieces_of = regex.compile(pattern).findall
         self.marks = self._ids(list(MARKS))
         #: Ids of units that follow a space.
@@ -115,17 +128,21 @@ class Encoder:
         return Tokenizer.from_file(self.path)
 
     def _ids(self, pieces: list[str], before: str = "") -> dict[str, bytes]:
-        if not pieces:
-            return {}
-        made = self.model.encode([before + p for p in pieces], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(made.ids, f"<u{self.width}").tobytes()
-        ends = (self.width * np.searchsorted(made.word_ids, np.arange(len(pieces)), "right")).tolist()
-        return {p: ids[a:b] for p, a, b in zip(pieces, [0, *ends], ends)}
+        """Ids of pieces by the library's model, which takes them as the characters of their bytes."""
+        tokenize, code, out = self.tokenize, "H" if self.width == 2 else "I", {}
+        for p in pieces:
+            whole = before + p
+            if self.normalizer:
+                whole = self.normalizer.normalize_str(whole)
+            ids = [t.id for t in tokenize(whole.encode().decode("latin-1").translate(BYTE_CHARS))]
+            out[p] = struct.pack(f"<{len(ids)}{code}", *ids)
+        return out
 
     def _cut(self, units: list[str]) -> list[bytes]:
         """Ids of units that the pattern has to cut."""
         cut = [self.pieces_of(u) for u in units]
-        ids = self._ids(list({p for ps in cut for p in ps}))
+        ids = {p: self.units.get(p[1:]) if p[:1] == " " and p[1:].isalpha() else None for ps in cut for p in ps}
+        ids.update(self._ids([p for p, known in ids.items() if known is None]))
         return [b"".join([ids[p] for p in ps]) for ps in cut]
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
@@ -158,24 +175,43 @@ class Encoder:
             self.units.clear()
             self.held = self.missed = 0
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        holding = {i for i, t in enumerate(texts) if any(c in t for c in self.added)}
-        rest = iter(self._encode([t for i, t in enumerate(texts) if i not in holding]))
-        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, f"<u{self.width}") if i in holding else next(rest)
-                for i, t in enumerate(texts)]
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [_SAFE.split(t) if crowded(t) else t.split(" ") for t in texts]
-        heads = self._cut([us[0] for us in cuts])  # a first unit follows no space
-        get = self.units.get
-        found = [[h, *map(get, islice(us, 1, None))] for h, us in zip(heads, cuts)]
-        gaps = [i for i, ids in enumerate(found) if None in ids]
-        missing = dict.fromkeys(u for i in gaps for u, ids in zip(cuts[i], found[i]) if ids is None)
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        holding = np.zeros(len(texts), bool)
+        for c in self.added:
+            holding |= pc.match_substring(texts, c).to_numpy(zero_copy_only=False)
+        if not holding.any():
+            return self._encode(texts)
+        rest = iter(self._encode(texts.filter(pa.array(~holding))))
+        return [np.array(self.whole.encode(t.as_py(), add_special_tokens=False).ids, f"<u{self.width}") if h else next(rest)
+                for t, h in zip(texts, holding)]
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        cuts = cut_at_spaces(texts)
+        units, starts = cuts.flatten(), np.concatenate([[0], np.cumsum(cuts.value_lengths().to_numpy())])
+        first = np.zeros(len(units), bool)  # a first unit follows no space
+        first[starts[:-1]] = True
+        heads = self._cut(units.filter(pa.array(first)).to_pylist())
+        later = units.filter(pa.array(~first)).dictionary_encode()
+        ids = pa.array(heads + self._ids_of(later.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        which = np.empty(len(units), np.int64)
+        which[first] = np.arange(len(heads))
+        which[~first] = later.indices.to_numpy() + len(heads)
+        joined = ids.take(pa.array(which))
+        _, offsets, data = joined.buffers()
+        stops = np.frombuffer(offsets, np.int64)[joined.offset:][starts]
+        return [np.frombuffer(data[a:b] if b > a else b"", f"<u{self.width}") for a, b in zip(stops.tolist(), stops[1:].tolist())]
+
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        """Ids of different units that follow a space."""
+        found = list(map(self.units.get, units))
+        missing = [u for u, ids in zip(units, found) if ids is None]
         if missing:
-            new = self._learn(list(missing))
-            for i in gaps:
-                found[i] = [new[u] if ids is None else ids for u, ids in zip(cuts[i], found[i])]
-        return [np.frombuffer(b"".join(ids), f"<u{self.width}") for ids in found]
+            new = self._learn(missing)
+            found = [new[u] if ids is None else ids for u, ids in zip(units, found)]
+        return found
 
 
 _encoders: dict[tuple[str, str, bool, int], Encoder] = {}
@@ -190,7 +226,7 @@ def encoder(*settings) -> Encoder:
 
 
 def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int,
-                  id_col: str = "doc_id", text_col: str = "text", batch: int = 256,
+                  id_col: str = "doc_id", text_col: str = "text", batch: int = 1024,
                   file_bytes: int = 1 << 26, added: bool = False, cache_bytes: int = CACHE_BYTES) -> None:
     """Writes every row's token ids, ended by ``end_id``, in ascending id order.
 
@@ -203,16 +239,15 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     units takes about ``cache_bytes``, and the more it holds the less is encoded again.
     ``tokenizer`` must be readable under that name on every executor.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, pattern, added, cache_bytes)
         end = np.array([end_id], f"<u{coder.width}")
         for b in batches:
             for at in range(0, len(b), batch):
-                part = b.iloc[at:at + batch]
-                ids = coder.encode(part["text"].tolist())
-                yield pd.DataFrame({"value": [
-                    frame(None if null else int(i), np.concatenate([x, end]), coder.width)
-                    for i, null, x in zip(part["id"], part["no_id"], ids)]})
+                part = b.slice(at, batch)
+                frames = [frame(None if null else i, np.concatenate([x, end]), coder.width) for i, null, x in zip(
+                    part["id"].to_pylist(), part["no_id"].to_pylist(), coder.encode(part["text"]))]
+                yield pa.RecordBatch.from_pydict({"value": pa.array(frames, pa.binary())})
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -224,7 +259,7 @@ def write_records(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id
     tasks = max(tasks_of(rows), -(-total // file_bytes))
     numbered = rows.withColumn("copy", F.monotonically_increasing_id())
     ordered = numbered.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("copy")
-    frames = ordered.mapInPandas(run, "value binary")
+    frames = ordered.mapInArrow(run, "value binary")
     frames.select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 

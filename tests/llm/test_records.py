@@ -47,6 +47,37 @@ def test_units_known_and_new_side_by_side(tokenizer):
     assert emptied
 
 
+def test_a_unit_is_looked_up_once_per_call(tokenizer):
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *key):
+            self.looked_up += 1
+            return super().get(*key)
+
+    coder = Encoder(*tokenizer_files())
+    texts = ["the same few words, again and again the words"] * 50 + ["and\n again the  same", ""]
+    for _ in range(2):  # new and known
+        coder.units = Counted(coder.units)
+        for t, ids in zip(texts, coder.encode(texts)):
+            assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+        assert coder.units.looked_up <= 20  # of 400 places
+
+
+def test_every_byte_has_its_character(tokenizer):
+    chars = [chr(c) for c in [*range(0x3000), *range(0x3000, 0x110000, 61)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c} {c}b {c} {c}" for c in chars] + ["".join(chars[i:i + 50]) for i in range(0, len(chars), 50)]
+    for t, ids in zip(texts, Encoder(*tokenizer_files()).encode(texts)):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_texts_with_added_tokens_alone():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    coder = Encoder(*tokenizer_files(), True)
+    for texts in (["<|endoftext|>", "x <|endoftext|> y"], ["", "<|endoftext|>", ""], [""], []):
+        assert [x.tolist() for x in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_frames_detect_damage():
     data = frame(7, np.array([1, 50256]), 2) + b"\n" + frame(None, np.array([2]), 4) + b"\n"
     doc_id, ids, at = read_frame(data)
