@@ -300,6 +300,38 @@ def test_market_overrides_are_worked_out_before_the_grid(spark, tmp_path, monkey
     assert 0 < sum(seen) < grid / 8
 
 
+def _grid(spark, markets, prices, shops):
+    """Prices by store where two stores have overrides of their own."""
+    df = spark.range(prices).selectExpr("id % 50 sku", f"cast(id * 7 % {markets} as int) mkt", "id % 2 tier", "double(id % 40) q")
+    stores = spark.range(shops).selectExpr(f"cast(pmod(hash(id), {markets}) as int) mkt", "id loc")
+    day = dt.date(2001, 11, 11)
+    overrides = spark.createDataFrame([(7, 1, 1, 12.0, 18.0, 30.0, day, day), (9, 3, 2, 12.0, 18.0, 30.0, day, day)],
+                                      "sku long, str long, ovrd_type int, ovrd_qty double, min_ovrd_qty double, "
+                                      "max_ovrd_qty double, beg_dt date, end_dt date")
+    return df, stores, op.market_override(df, stores, overrides, "sku", "mkt", "loc", "q", day)
+
+
+def test_the_grid_of_market_overrides_takes_little_space(spark, tmp_path):
+    """Written, a price's stores are a sequence that repeats: well under a byte a row."""
+    df, stores, grid = _grid(spark, 5, 1500, 5000)
+    grid.write.parquet(f"{tmp_path}/grid")
+    rows = spark.read.parquet(f"{tmp_path}/grid").count()
+    assert rows == df.join(stores, "mkt").count() > 1_000_000
+    assert sum(p.stat().st_size for p in (tmp_path / "grid").glob("*.parquet")) < 0.7 * rows
+
+
+def test_the_grid_of_one_market_is_many_tasks_work(spark):
+    """Also where its stores are too many to be broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grid = _grid(spark, 1, 400, 600)[2]
+        tasks = [r["count"] for r in grid.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sum(tasks) == 400 * 600 and max(tasks) < sum(tasks) / 2
+
+
 def test_a_hot_key_stays_where_its_rows_are(spark, tmp_path):
     """Four keys' limits come to the rows: no task reads a key's rows whole."""
     path = f"{tmp_path}/rows"
